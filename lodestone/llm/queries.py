@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .automaton import substring_dedup
+from .classifier import fit_quality, score_quality
 from .common import table
 from .exact_dedup import exact_dedup
+from .mixing import mix
+from .near_dedup import near_duplicates
 from .packing import best_fit_packing
 from .quality_rules import quality_rules
 from .secret_scan import scan_versions, secret_digest
+from .suffix_array import suffix_array_dedup
 from .warc import read_records, write_archives
 
 
@@ -19,6 +24,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(findings)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
@@ -34,16 +43,38 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256", "spans")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_rules": op4_quality_rules,
     "op5_warc": op5_warc,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}
