@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType
 
 from .columns import adjacent, let, strip
 
@@ -140,7 +141,7 @@ def normalize_text(text: str | None) -> str:
     return unicodedata.normalize("NFKC", html.unescape(text or ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalized(texts: pd.Series) -> pd.Series:
     return texts.map(normalize_text)
 
@@ -175,12 +176,12 @@ def decode_page(body: bytes | None, content_type: str | None = "") -> str:
     return body.decode("utf-8", "replace")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decode_html(bodies: pd.Series, content_types: pd.Series) -> pd.Series:
     return pd.Series([decode_page(b, t) for b, t in zip(bodies, content_types, strict=True)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def pdf_text(bodies: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Pages joined by blank lines. Needs pypdf on the executors."""
     import io
@@ -204,7 +205,7 @@ def lcs(a: list, b: list) -> int:
     return len(b) - row.bit_count()
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(IntegerType())
 def lcs_len(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([lcs(list(x) if x is not None else [], list(y) if y is not None else []) for x, y in zip(a, b, strict=True)])
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULTS, Settings
 from ..operators import dense, fusion, lexical, ranking
 from ..sources.readers import doc_metadata
+from ..tables import stored
 
 
 @dataclass(frozen=True)
@@ -150,7 +151,8 @@ def retrieve(
 
         rows = rows.join(queries.select(F.col("id").alias("query_id"), "query"), "query_id")
         given = scores(F.col("query"), embed_text(F.col("context"), F.col("text")))
-    ranked = ranking.chunk_ranks(ranking.rerank(rows, given))
+    # At most ``rerank_candidates`` rows a query; documents and passages both start from them.
+    ranked = stored(ranking.chunk_ranks(ranking.rerank(rows, given)), "ranked")
     docs = scored_documents(corpus, ranked, settings.consensus if consensus is None else consensus, settings)
     chosen = ranking.select_docs(docs, settings.doc_min, settings.doc_max, settings.doc_rel_threshold, settings.host_cap, settings.dedupe_clusters)
     return chosen, ranking.pick_chunks(chosen, ranked, settings.chunk_max_per_doc, settings.chunk_rel_threshold, unit)

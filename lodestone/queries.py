@@ -18,6 +18,7 @@ from .functions.columns import let, maybe_broadcast, strip, view
 from .operators import clean, crawl, dedup, dense, devset, evaluate, fusion, lexical, ranking
 from .plans import retrieval
 from .sources import readers
+from .tables import stored
 
 STRATA = ("en", "fr", "de", "es")
 DENSE_LABELS = (0, 1, 2, 3, 4)
@@ -309,14 +310,14 @@ def _ranked(spark, d):
     index = lexical.tokenized(passages.withColumn("lang", F.lit("")), words_only=True).select("chunk_id", "lang", "tokens")
     lists = lexical.search_corpus(_asked(spark, d), index, 60).select("query_id", F.lit("bm25:orig").alias("list_name"), "chunk_id", "rank")
     fused = fusion.rrf(lists).select("query_id", "chunk_id", F.col("score").alias("fusion"), "rank")
-    return ranking.chunk_ranks(ranking.rerank(ranking.with_chunks(fused, passages)))
+    return stored(ranking.chunk_ranks(ranking.rerank(ranking.with_chunks(fused, passages))), "ranked")
 
 
-def _documents(spark, d):
+def _documents(spark, d, ranked=None):
     """Scored documents with metadata and, for consensus, the vector whose id is the document's modulo the vectors."""
     meta = _docs(spark, d).select(F.col("doc_id").alias("id"), F.col("source").alias("host"), "lang")
     none = spark.createDataFrame([], "doc_id long, cluster_id long")
-    docs = ranking.with_metadata(ranking.doc_scores(_ranked(spark, d)), meta, none)
+    docs = ranking.with_metadata(ranking.doc_scores(_ranked(spark, d) if ranked is None else ranked), meta, none)
     vectors = view(spark, d, "embeddings")
     n = vectors.agg(F.count("*").alias("n"))
     at = docs.crossJoin(F.broadcast(n)).withColumn("vec_id", F.col("doc_id") % F.col("n"))
@@ -332,10 +333,10 @@ def agreement_rescore(spark, d):
     return _documents(spark, d).select("query_id", "doc_id", F.size("support_hosts").cast("long").alias("support"), F.array_join("support_hosts", ",").alias("hosts"), F.round("final", 6).alias("final"))
 
 
-def _chosen(spark, d, dedupe=False):
-    docs = _documents(spark, d)
+def _chosen(spark, d, dedupe=False, ranked=None):
+    docs = _documents(spark, d, ranked)
     docs = docs.withColumn("cluster", F.col("doc_id") % 3) if dedupe else docs
-    return ranking.select_docs(docs, dedupe_clusters=dedupe)
+    return stored(ranking.select_docs(docs, dedupe_clusters=dedupe).drop("embedding"), "chosen")
 
 
 def select_docs(spark, d):
@@ -347,13 +348,15 @@ def select_docs_dedupe(spark, d):
 
 
 def pick_chunks(spark, d):
-    found = ranking.pick_chunks(_chosen(spark, d), _ranked(spark, d))
+    ranked = _ranked(spark, d)
+    found = ranking.pick_chunks(_chosen(spark, d, ranked=ranked), ranked)
     return found.select("query_id", "doc_id", F.col("place").cast("long").alias("place"), "chunk_id", F.md5("chunk_text").alias("text_md5"))
 
 
 def _answers(spark, d):
-    chosen = _chosen(spark, d)
-    return ranking.answers(view(spark, d, "benchmark").select(F.col("item_id").alias("id")), chosen, ranking.pick_chunks(chosen, _ranked(spark, d)))
+    ranked = _ranked(spark, d)
+    chosen = _chosen(spark, d, ranked=ranked)
+    return ranking.answers(view(spark, d, "benchmark").select(F.col("item_id").alias("id")), chosen, ranking.pick_chunks(chosen, ranked))
 
 
 def submission_rows(spark, d):
@@ -378,7 +381,7 @@ def bias_report(spark, d):
 def _gold(spark, d):
     """(id, docs): documents that contain the benchmark text. The benchmark is the query set; its size is checked."""
     asked = maybe_broadcast(view(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("passage")))
-    return _docs(spark, d).join(asked, F.contains("text", "passage")).select("id", "doc_id", "passage")
+    return stored(_docs(spark, d).join(asked, F.contains("text", "passage")).select("id", "doc_id", "passage"), "gold")
 
 
 def doc_prf(spark, d):
