@@ -22,8 +22,8 @@ from .common import stored, texts_of
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker remembers; the memory is emptied when full.
-CACHED_WORDS = 200_000
+#: Words of a generation whose ids a worker remembers.
+CACHED_WORDS = 300_000
 
 Pattern = tuple[int, ...]
 
@@ -161,8 +161,6 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
 
 # ---- tokens -----------------------------------------------------------------------------------------------------
 
-_TOKENIZERS: dict[str, object] = {}
-
 
 def public_tokenizer() -> str:
     import public_tokenizers
@@ -173,30 +171,52 @@ def public_tokenizer() -> str:
 class WordIds:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and joins nothing across it, so ids of a text are those of its words in order.
+    The tokenizer drops white space and joins nothing across it, so ids of a text are those of its words in order. Ids of
+    words are remembered, in two generations: when the young one is full it becomes the old one, and words still in use
+    are taken over from there. So frequent words stay and memory is bounded.
     """
 
-    def __init__(self, path: str | None):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        path = path or public_tokenizer()
-        if path not in _TOKENIZERS:
-            _TOKENIZERS[path] = Tokenizer.from_file(path)
-        self.tokenizer, self.known = _TOKENIZERS[path], {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        known = self.known
         for text in texts:
             words = text.split()
-            if fresh := [*set(words).difference(known)]:
-                if len(known) + len(fresh) > CACHED_WORDS:
-                    known.clear()
-                    fresh = [*set(words)]
-                plain = [w.decode("utf-8", "replace") for w in fresh]
-                for word, one in zip(fresh, self.tokenizer.encode_batch(plain, add_special_tokens=False), strict=True):
-                    known[word] = np.asarray(one.ids, "<u4").tobytes()
-            yield b"".join(map(known.__getitem__, words))
+            ids = [*map(self.young.get, words)]
+            if None in ids:
+                self._learn({w for w, i in zip(words, ids, strict=True) if i is None})
+                ids = map(self.young.__getitem__, words)
+            yield b"".join(ids)
+            if len(self.young) > CACHED_WORDS:
+                self.young, self.old = {}, self.young
+
+    def _learn(self, words: set[bytes]) -> None:
+        fresh = []
+        for word in words:
+            known = self.old.get(word)
+            if known is None:
+                fresh.append(word)
+            else:
+                self.young[word] = known
+        plain = [w.decode("utf-8", "replace") for w in fresh]
+        for word, one in zip(fresh, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False), strict=True):
+            self.young[word] = np.asarray(one.ids, "<u4").tobytes()
+
+
+#: One for each tokenizer in a worker; workers outlive tasks.
+_WORDS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str | None) -> WordIds:
+    path = path or public_tokenizer()
+    if path not in _WORDS:
+        _WORDS[path] = WordIds(path)
+    return _WORDS[path]
 
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -207,7 +227,7 @@ def cut_pieces(capacity: int, end_id: int, path: str | None, with_ids: bool):
     schema = _PIECES.append(pa.field("ids", pa.binary())) if with_ids else _PIECES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = word_ids(path)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             for at, texts in texts_of(batch, "text"):
