@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import fresh_path, shared_dir, stored
+
+__all__ = ["WORD_GAP", "fresh_path", "let", "shared_dir", "stored", "table", "texts_of"]
+
 #: Words are runs of anything but the six ASCII white-space characters; ``bytes.split()`` cuts at exactly these.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
@@ -28,47 +29,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where it is unset and the master is local (tests) is a temporary folder made and set.
-    """
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not found and sc.getCheckpointDir():
-        found = sc.getCheckpointDir()
-    if not found:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="lodestone-")
-        sc.setCheckpointDir(found)
-        import atexit
-
-        atexit.register(shutil.rmtree, found, ignore_errors=True)
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    Cuts the lineage: what follows is recomputed from these files if an executor is lost, and a table used twice
-    is computed once.
-    """
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def texts_of(batch: pa.RecordBatch, column: str, rows: int = 256) -> Iterator[tuple[int, list[bytes]]]:
     """(offset, texts) of slices of a batch; texts as UTF-8, null as empty. Slices bound what Python holds."""
     whole = batch.column(batch.schema.get_field_index(column))
