@@ -6,9 +6,13 @@ Only darts up to a rank that leaves about k ln k + 2k of them are thrown; each f
 coordinate keeps its dart of earliest rank. Two signatures agree in a coordinate with probability of the weighted Jaccard
 similarity. Coordinates are joined in bands.
 
-Documents alike word for word are one class from the start and only its first document is compared. A bucket of a band
-links its members to one centre, never in pairs; members that are not similar to it go on to the next round with a
-centre of their own, until none is left. All links are checked on the shingle sets themselves.
+Documents alike word for word are one class from the start and only its first document is compared. What is wanted are
+the components of the similarity graph, and a maximum spanning forest has the components of every threshold. So a
+bucket gives a spanning forest of its members by estimated similarity, and for every cluster it is sure of the likeliest
+links beyond, a number of pairs in proportion to its members, never all pairs. Estimates far above the threshold are
+links, those far below are none, and the others are decided on the shingle sets themselves. Buckets of more than
+``BLOCK`` members are dealt into blocks, otherwise in every band, which share the bucket's first member; so no group is
+larger, whatever share of the rows it has, and members of a group of copies meet in many blocks.
 """
 
 from __future__ import annotations
@@ -27,6 +31,10 @@ from .components import components
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: 40 bands of 6: a pair of similarity 0.8 shares none with probability (1 - 0.8**6)**40 = 5e-6.
 BANDS, BAND_ROWS = 40, 6
+#: Members of a bucket that are compared with each other at once.
+BLOCK = 256
+#: Standard errors of an estimate beyond which it decides; links beyond a sure cluster that are tried.
+SURE, BEYOND = 5.0, 4
 CACHED_WORDS = 200_000
 
 _U = np.uint64
@@ -134,7 +142,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
 
 def signer(bands: int, rows: int, size: int):
@@ -152,7 +160,10 @@ def signer(bands: int, rows: int, size: int):
                 signed = dart_minhash(elements, np.ones(len(elements)), owner, len(sets), bands * rows)
                 keys = band_keys(signed, bands, rows)
                 lists = [k.view(np.int64) if len(s) else k[:0].view(np.int64) for k, s in zip(keys, sets, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(digests, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], schema=_SIGNED)
+                # Sixteen bits of a coordinate are enough to compare: they agree by chance once in 65536.
+                sketches = [row.tobytes() for row in (signed & _U(0xFFFF)).astype("<u2")]
+                columns = [pa.array(digests, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *columns], schema=_SIGNED)
 
     return run
 
@@ -168,13 +179,91 @@ def shingler(size: int):
     return run
 
 
+def block_pairs(sketches: np.ndarray, low: float, high: float) -> list[tuple[int, int, float]]:
+    """(i, j, estimate) of a block: its spanning forest over estimates of ``low`` or more, and of every cluster of
+    estimates of ``high`` or more the ``BEYOND`` likeliest pairs with members of other clusters."""
+    n = len(sketches)
+    like = np.empty((n, n), np.float32)
+    for i in range(n):
+        like[i] = (sketches == sketches[i]).mean(1)
+    np.fill_diagonal(like, -1)
+    best, source, left = np.full(n, -1.0, np.float32), np.zeros(n, int), np.ones(n, bool)
+    group = np.arange(n)
+    out: dict[tuple[int, int], float] = {}
+    for _ in range(n):
+        i = int(np.argmax(np.where(left, best, -2)))
+        left[i] = False
+        if best[i] >= low:
+            j = int(source[i])
+            out[min(i, j), max(i, j)] = float(best[i])
+            if best[i] >= high:
+                group[i] = group[j]
+        closer = left & (like[i] > best)
+        best[closer], source[closer] = like[i][closer], i
+    outside = np.where(group[:, None] != group[None, :], like, -1)
+    for g in np.unique(group):
+        mine = np.flatnonzero(group == g)
+        part = outside[mine].ravel()
+        for at in np.argsort(-part, kind="stable")[:BEYOND]:
+            if part[at] < low:
+                break
+            i, j = int(mine[at // n]), int(at % n)
+            out[min(i, j), max(i, j)] = float(part[at])
+    return [(i, j, e) for (i, j), e in out.items()]
+
+
+def _pairs(low: float, high: float):
+    """Pairs of the blocks; rows come sorted by (key, block)."""
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, float]]:
+        name, ids, sketches = None, [], []
+
+        def close() -> Iterator[tuple[int, int, float]]:
+            if len(ids) == 2:
+                found = [(0, 1, float((np.frombuffer(sketches[0], "<u2") == np.frombuffer(sketches[1], "<u2")).mean()))]
+                found = [x for x in found if x[2] >= low]
+            else:
+                found = block_pairs(np.stack([np.frombuffer(x, "<u2") for x in sketches]), low, high) if ids else []
+            for i, j, e in found:
+                if ids[i] != ids[j]:
+                    yield min(ids[i], ids[j]), max(ids[i], ids[j]), e
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:2] != name:
+                    yield from close()
+                    name, ids, sketches = row[:2], [], []
+                ids.append(row[2])
+                sketches.append(row[3])
+        yield from close()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        # A pair meets in many buckets of a task; the last ones are remembered.
+        seen: set[tuple[int, int]] = set()
+        for a, b, e in of_task(batches):
+            if (a, b) in seen:
+                continue
+            seen.add((a, b))
+            held.append((a, b, e))
+            if len(held) >= 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], names=["a", "b", "estimate"])
+                held = []
+                if len(seen) > 500_000:
+                    seen.clear()
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], names=["a", "b", "estimate"])
+
+    return run
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``pairs`` (centre, member) with ``ok``: whether their shingle sets' Jaccard similarity reaches the threshold."""
-    a = sets.select(F.col("doc_id").alias("member"), F.col("shingles").alias("a"))
-    b = sets.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    met = both >= similarity * (F.size("a") + F.size("b") - both) - 1e-9
-    return pairs.join(a, "member").join(b, "centre").select("centre", "member", met.alias("ok"))
+    """The ``pairs`` (a, b) whose shingle sets' Jaccard similarity reaches the threshold."""
+    of_a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+    of_b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    met = both >= similarity * (F.size("sa") + F.size("sb") - both) - 1e-9
+    return pairs.join(of_a, "a").join(of_b, "b").where(met).select("a", "b")
 
 
 def near_duplicates(
@@ -185,30 +274,29 @@ def near_duplicates(
     Classes are the connected components of pairs whose sets of ``size``-word shingles have a Jaccard similarity of
     ``similarity`` or more. Texts with the same words in the same order are one class, among them all empty and null
     texts; a text shorter than a shingle is otherwise like none. Rows with a null id are classes of their own, class_id
-    null, and kept. Repeated rows get the same class each. An empty table gives an empty result.
+    null, and kept. Repeated rows get the same class each; rows of one id with different texts are compared by one of them.
+    An empty table gives an empty result.
     """
     plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     named = plain.where(F.col("doc_id").isNotNull())
-    signed = stored(named.mapInArrow(signer(bands, rows, size), "doc_id long, digest binary, bands array<long>"), "signatures")
-    firsts = signed.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
-    keyed = firsts.select("first", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("first").alias("centre"), F.max("first").alias("other")).where("centre < other").select("key", "centre")
-    buckets = stored(keyed.join(shared, "key").select("key", "centre", F.col("first").alias("member")).where("member <> centre"), "buckets")
-    ends = buckets.select(F.col("centre").alias("doc_id")).union(buckets.select("member")).distinct()
-    sets = stored(named.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(shingler(size), "doc_id long, shingles array<long>"), "shingles")
-    links, open_ = None, buckets
-    while not open_.isEmpty():
-        checked = stored(_similar(open_.select("centre", "member").distinct(), sets, similarity), "checked")
-        found = checked.where("ok").select(F.col("member").alias("u"), F.col("centre").alias("v"))
-        links = found if links is None else links.unionByName(found)
-        failed = open_.join(checked.where("not ok").select("centre", "member"), ["centre", "member"], "left_semi").select("key", "member")
-        heads = failed.groupBy("key").agg(F.min("member").alias("centre"), F.max("member").alias("other")).where("centre < other").select("key", "centre")
-        open_ = stored(failed.join(heads, "key").where("member <> centre").select("key", "centre", "member"), "buckets")
-    classes = signed.select("doc_id", "digest").join(firsts.select("digest", "first"), "digest").select("doc_id", "first")
-    if links is not None:
-        low = components(links).select(F.col("u").alias("first"), F.col("v").alias("low"))
-        classes = classes.join(low, "first", "left").select("doc_id", F.coalesce("low", "first").alias("class_id"))
-    else:
-        classes = classes.select("doc_id", F.col("first").alias("class_id"))
+    signed = stored(named.mapInArrow(signer(bands, rows, size), "doc_id long, digest binary, bands array<long>, sketch binary"), "signatures")
+    firsts = stored(signed.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
+    keyed = signed.join(firsts, (signed["digest"] == firsts["digest"]) & (signed["doc_id"] == firsts["first"]), "left_semi").select(F.col("doc_id").alias("member"), F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("member").alias("centre")).where("n > 1")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    buckets = stored(keyed.join(shared, "key").select("key", "member", F.pmod(F.xxhash64("key", "member"), blocks).alias("block"), blocks.alias("blocks"), "centre"), "buckets")
+    centres = buckets.where("member = centre AND blocks > 1").select("key", "member", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("block").alias("own")).where("block <> own")
+    dealt = buckets.select("key", "block", "member").unionByName(centres.select("key", "block", "member"))
+    sketched = dealt.join(signed.select(F.col("doc_id").alias("member"), "sketch").dropDuplicates(["member", "sketch"]), "member").select("key", "block", "member", "sketch")
+    error = (similarity * (1 - similarity) / (bands * rows)) ** 0.5
+    low, high = similarity - (SURE + 1) * error, min(1.0, similarity + SURE * error)
+    found = sketched.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_pairs(low, high), "a long, b long, estimate double")
+    pairs = stored(found.groupBy("a", "b").agg(F.max("estimate").alias("estimate")), "pairs")
+    open_ = pairs.where(F.col("estimate") < high).select("a", "b")
+    ends = open_.select(F.col("a").alias("doc_id")).union(open_.select("b")).distinct()
+    sets = stored(named.join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(shingler(size), "doc_id long, shingles array<long>"), "shingles")
+    links = pairs.where(F.col("estimate") >= high).select("a", "b").unionByName(_similar(open_, sets, similarity))
+    low_ids = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("u").alias("first"), F.col("v").alias("low"))
+    classes = signed.select("doc_id", "digest").join(firsts, "digest").join(low_ids, "first", "left").select("doc_id", F.coalesce("low", "first").alias("class_id"))
     nameless = plain.where(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id"))
     return classes.unionByName(nameless).select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
