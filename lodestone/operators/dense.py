@@ -56,7 +56,7 @@ def search_vectors(queries: DataFrame, vectors: DataFrame, k: int, langs: list[s
 
 def _best_of_tasks(rows: DataFrame, block: list, k: int, key: str, by: tuple[str, ...], schema: str) -> DataFrame:
     ids = np.array([r["query_id"] for r in block], np.int64)
-    matrix = np.array([r["embedding"] for r in block], np.float64).reshape(len(block), -1)
+    matrix = np.array([r["embedding"] for r in block], np.float64)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = None
