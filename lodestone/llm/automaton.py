@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import texts_of
 from .repeats import Repeat, Segment, remove_repeats, runs_of
 
-LENGTH, GRAM = 20, 8
+LENGTH, GRAM = 20, 6
 #: The most words a broadcast reference may have; an automaton has at most two states a word.
 REFERENCE_WORDS = 200_000
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import stored, texts_of
 from .near_dedup import WordHashes, windows
 
 #: A segment: where it starts, how many windows, how many words lie before the anchor, and its words.
@@ -58,22 +58,22 @@ def anchors(hashes: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.nda
 
 
 def _anchor_rows(length: int, k: int):
-    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("uid", pa.int64()), ("n", pa.int32())])
+    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            ids, uids = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            ids = batch.column(0).to_numpy()
             for at, texts in texts_of(batch, "text", 128):
                 parts = []
                 for row, text in enumerate(texts, at):
                     grams, place = anchors(known.of(text.split()), length, k)
                     if len(place):
                         found, n = np.unique(grams[np.unique(place)], return_counts=True)
-                        parts.append((found, np.full(len(found), ids[row]), np.full(len(found), uids[row]), n.astype(np.int32)))
+                        parts.append((found, np.full(len(found), ids[row]), n.astype(np.int32)))
                 if parts:
-                    found, doc, uid, n = map(np.concatenate, zip(*parts, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(doc), pa.array(uid), pa.array(n)], schema=schema)
+                    found, doc, n = map(np.concatenate, zip(*parts, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(doc), pa.array(n)], schema=schema)
 
     return run
 
@@ -102,10 +102,12 @@ def _segment_rows(length: int, k: int):
         resolved = lambda doc, uid, start: (doc, doc, uid, start, 1, 0, None)
         for batch in batches:
             ids, uids = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            lists, hots = batch.column(3), batch.column(4)
+            lists, hots, copies = batch.column(3), batch.column(4), batch.column(5).to_pylist()
             for low, texts in texts_of(batch, "text", 64):
                 for row, text in enumerate(texts, low):
                     doc, uid = int(ids[row]), int(uids[row])
+                    if copies[row] and uid in copies[row]:
+                        continue
                     words = text.split()
                     hashes = known.of(words)
                     grams, place = anchors(hashes, length, k)
@@ -151,33 +153,42 @@ def _compared(compare: Callable[[Iterator[Segment], int], Iterator[Repeat]], len
         stream = rows()
         row = next(stream, None)
         while row is not None:
-            key, group = row[0], []
+            key, resolved = row[0], []
 
             def same_key() -> Iterator[Segment]:
                 nonlocal row
                 while row is not None and row[0] == key:
                     if row[6] is None:
-                        group.append((row[1], row[2], row[3], row[4]))
+                        resolved.append((row[1], row[2], row[3], row[4]))
                     else:
                         yield row[1], row[2], row[3], row[4], row[5], row[6]
                     row = next(stream, None)
 
             yield from compare(same_key(), length)
-            yield from group
+            yield from resolved
 
     return lambda batches: _rows(of_task(batches), _REPEATS, 20_000)
 
 
-def find_repeats(docs: DataFrame, length: int, k: int, compare: Callable[[Iterator[Segment], int], Iterator[Repeat]], hot: int = 256) -> DataFrame:
-    """Windows that occur earlier, as rows of ``_REPEATS_DDL``; ``docs`` has doc_id (not null), text and uid.
+def copied(docs: DataFrame) -> DataFrame:
+    """(doc_id, uid) of documents whose whole text a smaller doc_id has: nothing of them needs to be compared."""
+    named = docs.select("doc_id", "uid", F.unhex(F.sha2("text", 256)).alias("digest"))
+    firsts = named.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first")
+    return named.join(firsts, "digest").where("doc_id > first").select("doc_id", "uid").distinct()
+
+
+def find_repeats(docs: DataFrame, copies: DataFrame, length: int, k: int, compare: Callable[[Iterator[Segment], int], Iterator[Repeat]], hot: int = 256) -> DataFrame:
+    """Windows that occur earlier, as rows of ``_REPEATS_DDL``, in documents that aren't ``copies``.
 
-    ``compare`` gets the segments of one key in the order of (doc_id, start) and yields the repeats among them. Earlier
-    is a smaller (doc_id, start); rows of one document's copies under the same id are not earlier than each other.
+    ``docs`` has doc_id (not null), text and uid. ``compare`` gets the segments of one key in the order of (doc_id, start)
+    and yields the repeats among them. Earlier is a smaller (doc_id, start); rows of one document's copies under the same
+    id are not earlier than each other.
     """
-    rows = docs.mapInArrow(_anchor_rows(length, k), "anchor long, doc_id long, uid long, n int")
+    rows = stored(docs.select("doc_id", "text").mapInArrow(_anchor_rows(length, k), "anchor long, doc_id long, n int"), "anchors")
     twice = rows.groupBy("anchor").agg(F.sum("n").alias("n")).where("n >= 2").select("anchor", (F.col("n") > hot).alias("hot"))
-    listed = rows.drop("n").join(twice, "anchor").groupBy("doc_id", "uid").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("hot").alias("hot"))
-    candidates = docs.join(listed, ["doc_id", "uid"]).select("doc_id", "text", "uid", "anchors", "hot")
+    listed = rows.drop("n").join(twice, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("hot").alias("hot"))
+    known = copies.groupBy("doc_id").agg(F.collect_list("uid").alias("copies"))
+    candidates = docs.join(listed.join(known, "doc_id", "left"), "doc_id").select("doc_id", "text", "uid", "anchors", "hot", "copies")
     segments = candidates.mapInArrow(_segment_rows(length, k), _SEGMENTS_DDL)
     dealt = segments.repartition("key").sortWithinPartitions("key", "doc_id", "start")
     return dealt.mapInArrow(_compared(compare, length), _REPEATS_DDL)
@@ -191,12 +202,17 @@ def _remover(length: int):
             for low, texts in texts_of(batch, "text", 128):
                 rows = []
                 part = batch.slice(low, len(texts))
-                for doc, text, starts, counts in zip(part.column(0).to_pylist(), texts, part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                for doc, text, uid, found in zip(part.column(0).to_pylist(), texts, part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
                     words = text.split()
                     gone = np.zeros(len(words) + 1, np.int64)
-                    if starts:
-                        np.add.at(gone, np.array(starts), 1)
-                        np.add.at(gone, np.minimum(np.array(starts) + np.array(counts) + length - 1, len(words)), -1)
+                    # Rows under one id may differ in text; each takes its own.
+                    own = [(r["start"], r["count"]) for r in found or () if r["uid"] == uid]
+                    if own and min(own)[0] < 0:
+                        own = [(0, len(words) - length + 1)] if len(words) >= length else []
+                    if own:
+                        starts, counts = np.array(own).T
+                        np.add.at(gone, starts, 1)
+                        np.add.at(gone, np.minimum(starts + counts + length - 1, len(words)), -1)
                     mask = np.cumsum(gone[:-1]) > 0
                     spans = runs_of(mask)
                     kept, at = [], 0
@@ -217,11 +233,13 @@ def remove_repeats(docs: DataFrame, length: int, k: int, compare, hot: int = 256
     nothing and are no one's earlier occurrence. Repeated rows lose what one of them would. An empty table gives an
     empty result; other columns are not read.
     """
-    plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("text"))
+    # An alias that changes nothing would keep Spark from reading the shuffled texts twice instead of shuffling them twice.
+    same = id_column == "doc_id" and dict(docs.dtypes)["doc_id"] == "bigint"
+    plain = docs.select(F.col("doc_id") if same else F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")).withColumn("uid", F.xxhash64("text"))
     named = plain.where(F.col("doc_id").isNotNull())
-    repeats = find_repeats(named, length, k, compare, hot)
-    by_doc = repeats.groupBy("doc_id", "uid").agg(F.collect_list("start").alias("starts"), F.collect_list("count").alias("counts"))
-    none = F.lit(None).cast("array<int>")
-    rest = plain.where(F.col("doc_id").isNull()).select("doc_id", "text", none.alias("starts"), none.alias("counts"))
-    whole = named.join(by_doc, ["doc_id", "uid"], "left").select("doc_id", "text", "starts", "counts").unionByName(rest)
+    copies = stored(copied(named), "copies")
+    repeats = find_repeats(named, copies, length, k, compare, hot).unionByName(copies.select("doc_id", "uid", F.lit(-1).alias("start"), F.lit(0).alias("count")))
+    by_doc = repeats.groupBy("doc_id").agg(F.collect_list(F.struct("uid", "start", "count")).alias("found"))
+    rest = plain.where(F.col("doc_id").isNull()).select("doc_id", "text", "uid", F.lit(None).cast("array<struct<uid:bigint,start:int,count:int>>").alias("found"))
+    whole = named.join(by_doc, "doc_id", "left").select("doc_id", "text", "uid", "found").unionByName(rest)
     return whole.mapInArrow(_remover(length), "doc_id long, n_words long, n_removed long, spans string, kept_text string, kept_sha256 string")
