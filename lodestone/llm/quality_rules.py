@@ -38,7 +38,7 @@ THRESHOLDS = (
     Threshold("symbols", "symbol_ratio", None, 0.10),
     Threshold("shouting", "upper_ratio", None, 0.40),
     Threshold("stop_words", "stop_ratio", 0.03, None),
-    Threshold("repeated_lines", "dup_line_ratio", None, 0.30),
+    Threshold("repeated_lines", "dup_line_ratio", None, 0.40),
     Threshold("repeated_words", "repeat_ratio", None, 0.50),
 )
 
@@ -110,7 +110,7 @@ def quality_rules(docs: DataFrame, thresholds: tuple[Threshold, ...] = THRESHOLD
     rated = flat.select(
         "*",
         per("word_chars", "n_words").alias("mean_word_chars"),
-        per("n_symbols", "word_chars").alias("symbol_ratio"),
+        per("n_symbols", "n_words").alias("symbol_ratio"),
         per("n_upper", "word_chars").alias("upper_ratio"),
         per("n_stop", "n_words").alias("stop_ratio"),
         per("n_dup_lines", "n_lines").alias("dup_line_ratio"),
