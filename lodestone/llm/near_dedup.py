@@ -282,7 +282,8 @@ def near_duplicates(
     signed = stored(named.mapInArrow(signer(bands, rows, size), "doc_id long, digest binary, bands array<long>, sketch binary"), "signatures")
     firsts = stored(signed.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
     keyed = signed.join(firsts, (signed["digest"] == firsts["digest"]) & (signed["doc_id"] == firsts["first"]), "left_semi").select(F.col("doc_id").alias("member"), F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("member").alias("centre")).where("n > 1")
+    # Written, so that the join shuffles both sides and can split a key that a third of all documents have.
+    shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("member").alias("centre")).where("n > 1"), "shared")
     blocks = F.ceil(F.col("n") / BLOCK)
     buckets = stored(keyed.join(shared, "key").select("key", "member", F.pmod(F.xxhash64("key", "member"), blocks).alias("block"), blocks.alias("blocks"), "centre"), "buckets")
     centres = buckets.where("member = centre AND blocks > 1").select("key", "member", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("block").alias("own")).where("block <> own")

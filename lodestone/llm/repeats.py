@@ -173,7 +173,8 @@ def _compared(compare: Callable[[Iterator[Segment], int], Iterator[Repeat]], len
 def copied(docs: DataFrame) -> DataFrame:
     """(doc_id, uid) of documents whose whole text a smaller doc_id has: nothing of them needs to be compared."""
     named = docs.select("doc_id", "uid", F.unhex(F.sha2("text", 256)).alias("digest"))
-    firsts = named.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first")
+    # Written, so that the join shuffles both sides and can split a digest that a third of all documents have.
+    firsts = stored(named.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("digest", "first"), "firsts")
     return named.join(firsts, "digest").where("doc_id > first").select("doc_id", "uid").distinct()
 
 
