@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .classifier import labelled_sample
+from .classifier import fitted, labelled_sample
 from .common import stored, texts_of
 from .textnet import Buckets, Net, packed, unpacked
 
@@ -73,7 +73,7 @@ def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> bytes:
     """The classifier as bytes, about 2 MB whatever the corpus."""
-    return bytes(labelled_sample(docs, labels, domain_label(), rows).mapInArrow(train, "model binary").collect()[0]["model"])
+    return fitted(labelled_sample(docs, labels, domain_label(), rows), train)
 
 
 def posteriors(docs: DataFrame, model: bytes) -> DataFrame:
@@ -103,7 +103,7 @@ def posteriors(docs: DataFrame, model: bytes) -> DataFrame:
     )
 
 
-def _sums(moves: list[np.ndarray], choices: list[np.ndarray], names: list[str]):
+def _sums(moves: list[np.ndarray], choices: list[np.ndarray], names: list[str], anchor: int | None):
     """Per task and choice of the next move: the domains' expected tokens, then the Gram matrix of the free documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,33 +112,38 @@ def _sums(moves: list[np.ndarray], choices: list[np.ndarray], names: list[str]):
         for batch in batches:
             p = np.stack([batch.column(f"p_{d}").to_numpy() for d in names], axis=1)
             tokens = batch.column("n_tokens").to_numpy().astype(float)
-            rate = np.ones(len(tokens))
+            rate, least = np.ones(len(tokens)), np.zeros(len(tokens))
+            if anchor is not None:
+                least[p[:, anchor] >= p.max(axis=1)] = 1.0
             for move in moves:
-                rate = np.maximum(0.0, rate + p @ move)
+                rate = np.maximum(least, rate + p @ move)
             for c, move in enumerate(choices):
-                moved = np.maximum(0.0, rate + p @ move)
+                moved = np.maximum(least, rate + p @ move)
                 total[c, :k] += (moved * tokens) @ p
-                total[c, k:] += ((p * (tokens * (moved > 0))[:, None]).T @ p).ravel()
+                total[c, k:] += ((p * (tokens * (moved > least))[:, None]).T @ p).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["place", "value"])
 
     return run
 
 
-def fit_rates(members: DataFrame, targets: Mapping[str, float] = TARGETS, total: float | None = None, steps: int = 30, tolerance: float = 1e-3) -> tuple[Column, list[float]]:
+def fit_rates(
+    members: DataFrame, targets: Mapping[str, float] = TARGETS, total: float | None = None, protect: bool = True, steps: int = 30, tolerance: float = 1e-3
+) -> tuple[Column, list[float]]:
     """(rate as an expression over ``members``' posteriors, the expected share of each domain it gives).
 
-    From rates of 1, each step moves every rate along its posteriors and projects onto rates of 0 or more. The move is
-    the gradient, plain with the step 1 / largest eigenvalue that always descends, or scaled with the inverse Gram
+    From rates of 1, each step moves every rate along its posteriors and projects onto the least rate, 0 or 1. The move is
+    the gradient, plain with a step that always descends or a multiple of it, or scaled with the inverse Gram
     matrix of the documents whose rate isn't held at 0, whole or in part; one distributed pass weighs all of these and
     the best is taken. ``total`` is the expected tokens altogether; by default as many as leave the domain
-    of the largest weight what it has. Targets that the posteriors can't reach are met as nearly as least squares allow.
+    of the largest weight what it has. With ``protect`` the rates of documents most likely of that domain don't fall
+    below 1, however weak the classifier. Targets that can't be reached are met as nearly as least squares allow.
     """
     names = list(targets)
     weights = np.array([targets[d] for d in names], float) / sum(targets.values())
-    k = len(names)
+    k, anchor = len(names), int(np.argmax(weights))
 
     def weighed(moves: list[np.ndarray], choices: list[np.ndarray]) -> np.ndarray:
-        found = members.mapInArrow(_sums(moves, choices, names), "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).collect()
+        found = members.mapInArrow(_sums(moves, choices, names, anchor if protect else None), "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).collect()
         out = np.zeros(len(choices) * (k + k * k))
         for row in found:
             out[row["place"]] = row["value"]
@@ -146,16 +151,17 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float] = TARGETS, total:
 
     moves: list[np.ndarray] = []
     now = weighed(moves, [np.zeros(k)])[0]
-    anchor = int(np.argmax(weights))
     wanted = weights * (now[anchor] / weights[anchor] if total is None else total)
     loss = lambda x: float(((x[:k] - wanted) ** 2).sum())
+    # The largest eigenvalue of the whole Gram matrix is at most all tokens, whose sum over domains this is.
+    most = max(float(now[:k].sum()), 1e-12)
     for _ in range(steps):
         off, gram = wanted - now[:k], now[k:].reshape(k, k)
         if np.abs(off).max(initial=0) <= tolerance * max(1.0, wanted.sum()):
             break
-        top = max(np.linalg.eigvalsh(gram)[-1], 1e-12)
-        scaled = np.linalg.solve(gram + 1e-6 * top * np.eye(k), off)
-        choices = [off / top, *(scaled * f for f in (1.0, 0.5, 0.2, 0.05))]
+        ridge = 1e-6 * max(np.linalg.eigvalsh(gram)[-1], 1e-6 * most)
+        scaled = np.linalg.solve(gram + ridge * np.eye(k), off)
+        choices = [*(off * f / most for f in (1, 4, 16)), *(scaled * f for f in (1.0, 0.3, 0.1, 0.03))]
         # Sums of floating point numbers differ in their last digits from run to run; the moves needn't.
         choices = [np.array([float(f"{x:.6g}") for x in c]) for c in choices]
         found = weighed(moves, choices)
@@ -164,9 +170,11 @@ def fit_rates(members: DataFrame, targets: Mapping[str, float] = TARGETS, total:
             break
         moves.append(choices[best])
         now = found[best]
+    p = [F.col(f"p_{d}") for d in names]
+    least = F.when(p[anchor] >= F.greatest(*p), 1.0).otherwise(0.0) if protect else F.lit(0.0)
     rate = F.lit(1.0)
     for move in moves:
-        rate = F.greatest(F.lit(0.0), rate + sum((F.col(f"p_{d}") * float(m) for d, m in zip(names, move, strict=True)), F.lit(0.0)))
+        rate = F.greatest(least, rate + sum((x * float(m) for x, m in zip(p, move, strict=True)), F.lit(0.0)))
     return rate, [float(s) for s in now[:k] / max(now[:k].sum(), 1e-12)]
 
 

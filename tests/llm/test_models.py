@@ -72,27 +72,28 @@ def test_mixing_meets_targets_and_keeps_clean_documents(spark):
     assert clean.kept.mean() > 0.97 and truth[truth.toxic == 1].rate.mean() < 0.8 * clean.rate.mean()
 
 
-def brute_rates(p, tokens, wanted, steps=20_000):
+def brute_rates(p, tokens, wanted, protect, steps=20_000):
     """Plain projected gradient in the same metric."""
-    rate = np.ones(len(tokens))
+    rate, least = np.ones(len(tokens)), (p[:, 0] >= p.max(axis=1)) * (1.0 if protect else 0.0)
     top = np.linalg.eigvalsh((p * tokens[:, None]).T @ p)[-1]
     for _ in range(steps):
-        rate = np.maximum(0, rate + p @ (wanted - (rate * tokens) @ p) / top)
+        rate = np.maximum(least, rate + p @ (wanted - (rate * tokens) @ p) / top)
     return rate
 
 
 @pytest.mark.parametrize("targets", [{"clean": 0.6, "low": 0.3, "toxic": 0.1}, {"clean": 0.98, "low": 0.01, "toxic": 0.01}, {"clean": 1.0, "low": 0.0, "toxic": 0.0}])
-def test_rates_are_the_least_squares_solution(spark, targets):
+@pytest.mark.parametrize("protect", [False, True])
+def test_rates_are_the_least_squares_solution(spark, targets, protect):
     rng = np.random.default_rng(0)
     p = rng.dirichlet([2, 0.5, 0.5], 300)
     tokens = rng.integers(1, 500, 300)
     members = spark.createDataFrame([(k, int(n), *map(float, q)) for k, (n, q) in enumerate(zip(tokens, p, strict=True))], "doc_id long, n_tokens long, p_clean double, p_low double, p_toxic double")
-    rate, _ = fit_rates(members, targets, tolerance=1e-6)
+    rate, _ = fit_rates(members, targets, protect=protect, tolerance=1e-6)
     found = np.array([r[0] for r in members.select(rate).collect()])
     t = np.array(list(targets.values()))
     wanted = t * (tokens @ p)[0] / t[0]
     loss = lambda r: (((r * tokens) @ p - wanted) ** 2).sum() / wanted.sum() ** 2
-    assert (found >= 0).all() and loss(found) <= loss(brute_rates(p, tokens.astype(float), wanted)) + 2e-3
+    assert (found >= 0).all() and (not protect or (found[p[:, 0] >= p.max(axis=1)] >= 1).all()) and loss(found) <= loss(brute_rates(p, tokens.astype(float), wanted, protect)) + 2e-3
 
 
 def test_temperature_softens_a_net_that_is_too_sure():

@@ -3,7 +3,7 @@ import pytest
 import corpus_pipeline
 from lodestone.llm.common import stored, table
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +28,8 @@ def test_columns_and_rows_are_those_of_documents(stages, spark):
             assert after.exceptAll(before).count() == 0 and after.count() > 0
 
 
-def test_quality_keeps_good_and_rejects_bad(stages, labels):
+def test_quality_keeps_good_and_rejects_bad(stages, spark):
+    labels = table(spark, SF, "labels").collect()
     after = set(ids(stages["quality_classifier"][1]))
     good = [r["doc_id"] in after for r in labels if r["quality"] == 1]
     bad = [r["doc_id"] in after for r in labels if r["quality"] == 0]
@@ -49,7 +50,7 @@ def test_exact_and_near_stages_against_brute_force(stages):
 
 def test_mixing_keeps_most_and_packing_takes_all(stages):
     before, after = stages["mixing"]
-    assert after.count() >= 0.8 * before.count()
+    assert after.count() >= 0.9 * before.count()
     before, packed = stages["best_fit_packing"]
     assert sorted({r.doc_id for r in packed.collect()}) == ids(before)
 
@@ -64,7 +65,7 @@ def test_run_is_the_stages_one_after_another(stages, spark):
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_stages_take_messy_and_empty_tables(spark, messy, nothing, name, stage):
     found = stage(spark, messy[1], SF)
-    assert found.count() <= messy[1].count() + 20
+    assert found.count() > 0
     if name != "best_fit_packing":
         assert found.columns == messy[1].columns
     assert stage(spark, nothing, SF).count() == 0
