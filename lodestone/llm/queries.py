@@ -12,6 +12,7 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .near_dedup import near_duplicates
+from .oracles import ORACLES
 from .packing import best_fit_packing
 from .quality_rules import quality_rules
 from .secret_scan import scan_versions, secret_digest
@@ -64,6 +65,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -76,5 +79,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
-
-ORACLES: dict[str, str] = {}
