@@ -1,4 +1,3 @@
-import hashlib
 import math
 
 import duckdb
@@ -46,4 +45,5 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", ["metric_tokens", "page_sections", "chunk_windows", "dup_clusters", "cluster_counts", "select_docs_dedupe", "evaluate_macro", "lcs_overlap", "dev_replacements", "hybrid_answers"])
 def test_the_others_run(spark, name):
     rows = entry.queries()[name](spark, SF).collect()
-    assert rows and hashlib.md5(repr(rows[0]).encode())
+    # At this size all queries are in the sample, so none is left to replace a skipped one.
+    assert bool(rows) == (name != "dev_replacements")
