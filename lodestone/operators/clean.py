@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULTS
 from ..functions.columns import strip
+from ..tables import stored
 
 
 def boilerplate_lines(docs: DataFrame, min_docs: int = DEFAULTS.boilerplate_min_docs, min_share: float = DEFAULTS.boilerplate_min_share, longest: int = DEFAULTS.boilerplate_max_line) -> DataFrame:
@@ -26,9 +27,10 @@ def clean_docs(docs: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Documents without their host's boilerplate lines; those left empty go. Blank lines stay.
 
     A host's lines are one array: a line must be in ``min_share`` of the documents, each of bounded length, so there
-    are few of them however many documents the host has.
+    are few of them however many documents the host has. The table is written first: Spark then knows its size and
+    broadcasts it if it is small, and can split a host with most of the documents if it isn't.
     """
-    per_host = (boilerplate_lines(docs) if lines is None else lines).groupBy("host").agg(F.collect_set("line").alias("_gone"))
+    per_host = stored((boilerplate_lines(docs) if lines is None else lines).groupBy("host").agg(F.collect_set("line").alias("_gone")), "boilerplate")
     joined = docs.join(per_host, "host", "left")
     kept = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: ~F.array_contains(F.col("_gone"), strip(x)))
     text = F.when(F.col("_gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n"))
