@@ -89,7 +89,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: Column, rows: int
     chosen = known.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(rows)
     # The hint is safe: ``rows`` bounds it.
     pairs = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "id")
-    return pairs.dropDuplicates(["id"]).select("label", "text").repartition(1)
+    # In id order: what is learned doesn't depend on which task's rows come first.
+    return pairs.dropDuplicates(["id"]).repartition(1).sortWithinPartitions("id").select("label", "text")
 
 
 def fitted(sample: DataFrame, train) -> bytes:
