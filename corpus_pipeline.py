@@ -23,10 +23,10 @@ from lodestone.llm.packing import best_fit_packing
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id isn't in ``gone``; null ids stay.
 
-    The ids are written first, so Spark knows their size: few are broadcast and the texts aren't shuffled.
+    Merged, at every size: the ids grow with the corpus.
     """
-    ids = stored(gone.where(F.col("doc_id").isNotNull()).select("doc_id").distinct(), "gone")
-    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+    ids = gone.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    return docs.join(ids.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
