@@ -295,7 +295,8 @@ def near_duplicates(
     pairs = stored(found.groupBy("a", "b").agg(F.max("estimate").alias("estimate")), "pairs")
     open_ = pairs.where(F.col("estimate") < high).select("a", "b")
     ends = open_.select(F.col("a").alias("doc_id")).union(open_.select("b")).distinct()
-    sets = stored(named.join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(shingler(size), "doc_id long, shingles array<long>"), "shingles")
+    # Merged, at every size: what is joined grows with the corpus.
+    sets = stored(named.join(ends.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(shingler(size), "doc_id long, shingles array<long>"), "shingles")
     links = pairs.where(F.col("estimate") >= high).select("a", "b").unionByName(_similar(open_, sets, similarity))
     low_ids = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("u").alias("first"), F.col("v").alias("low"))
     classes = signed.select("doc_id", "digest").join(firsts, "digest").join(low_ids, "first", "left").select("doc_id", F.coalesce("low", "first").alias("class_id"))
