@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import BROADCAST_ROWS
 from .common import stored, texts_of
 from .components import components
 
@@ -36,6 +37,8 @@ BLOCK = 256
 #: Standard errors of an estimate beyond which it decides; links beyond a sure cluster that are tried.
 SURE, BEYOND = 5.0, 4
 CACHED_WORDS = 200_000
+#: Members of a large bucket that are compared with as many others in one group; members whose shingle sets are.
+TILE, CHECKED = 2048, 1024
 
 _U = np.uint64
 
@@ -266,6 +269,125 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(of_a, "a").join(of_b, "b").where(met).select("a", "b")
 
 
+def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """The rows of each value of ``names``; rows come sorted by them."""
+    name, held = None, []
+    for batch in batches:
+        values = [batch.column(n).to_numpy() for n in names]
+        cuts = [*(np.flatnonzero(np.any([v[1:] != v[:-1] for v in values], axis=0)) + 1)] if batch.num_rows else []
+        for at, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True) if batch.num_rows else ():
+            now = tuple(v[at] for v in values)
+            if now != name and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            name = now
+            held.append(batch.slice(at, end - at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _crossing(low: float):
+    """Pairs of a tile that two classes share and whose estimate is ``low`` or more; each in its first shared band."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, ["key", "i", "j"]):
+            classes = rows["class"].to_numpy()
+            order = np.argsort(classes, kind="stable")
+            classes, ids, part = classes[order], rows["member"].to_numpy()[order], rows["part"].to_numpy()[order]
+            key, one = rows["key"][0].as_py(), rows["i"][0].as_py() == rows["j"][0].as_py()
+            sketches = np.frombuffer(b"".join(rows["sketch"].to_pylist()), "<u2").reshape(len(ids), -1)[order]
+            bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[order]
+            # An id of several texts may be in a bucket by another text than the one compared.
+            known = (bands == key).any(1)
+            after = np.searchsorted(classes, classes, side="right")
+            found, size = [], 0
+            for r in range(len(ids)):
+                if after[r] == len(ids):
+                    break
+                like = np.count_nonzero(sketches[after[r] :] == sketches[r], axis=1) / sketches.shape[1]
+                hit = after[r] + np.flatnonzero(like >= low)
+                if not one:
+                    hit = hit[part[hit] != part[r]]
+                if known[r] and len(hit):
+                    first = (bands[hit] == bands[r]).argmax(1)
+                    hit = hit[(bands[hit, first] == key) | ~known[hit]]
+                if len(hit):
+                    found.append((np.minimum(ids[r], ids[hit]), np.maximum(ids[r], ids[hit])))
+                    size += len(hit)
+                if size >= 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b"])
+                    found, size = [], 0
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    return run
+
+
+def _checked(similarity: float):
+    """The pairs (a, b) of a tile that reach the threshold; rows without b give the shingles of a."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches, ["tile"]):
+            sets, pairs = rows.filter(rows["b"].is_null()), rows.filter(rows["b"].is_valid())
+            ids, lists = sets["a"].to_numpy(), sets["shingles"].combine_chunks()
+            sizes = lists.value_lengths().to_numpy()
+            names, local = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+            starts, mark = np.cumsum(sizes) - sizes, np.zeros(len(names), bool)
+            order = np.argsort(ids)
+            a, b = (order[np.searchsorted(ids[order], pairs[c].to_numpy())] for c in "ab")
+            turn = np.argsort(a, kind="stable")
+            a, b = a[turn], b[turn]
+            cuts = [0, *(np.flatnonzero(a[1:] != a[:-1]) + 1), len(a)]
+            met = np.zeros(len(a), bool)
+            for at, end in zip(cuts[:-1], cuts[1:], strict=True):
+                own = local[starts[a[at]] : starts[a[at]] + sizes[a[at]]]
+                mark[own] = True
+                for low in range(at, end, 256):
+                    others = b[low : min(low + 256, end)]
+                    ends = np.cumsum(sizes[others])
+                    places = np.arange(ends[-1]) + np.repeat(starts[others] - (ends - sizes[others]), sizes[others])
+                    seen = np.r_[0, np.cumsum(mark[local[places]])]
+                    both = seen[ends] - seen[ends - sizes[others]]
+                    met[low : low + len(others)] = both >= similarity * (len(own) + sizes[others] - both) - 1e-9
+                mark[own] = False
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a[met]]), pa.array(ids[b[met]])], names=["a", "b"])
+
+    return run
+
+
+def _similar_tiles(pairs: DataFrame, sets: DataFrame, members: int, similarity: float) -> DataFrame:
+    """As ``_similar``, for many pairs of few ``members``: sets are sent once a tile of pairs, not once a pair."""
+    groups = -(-members // CHECKED)
+    of_a, of_b = (F.pmod(F.xxhash64(c), F.lit(groups)) for c in "ab")
+    tiled = pairs.select((F.least(of_a, of_b) * groups + F.greatest(of_a, of_b)).alias("tile"), "a", "b")
+    needed = tiled.select("tile", "a").union(tiled.select("tile", "b")).distinct()
+    given = needed.join(sets.withColumnRenamed("doc_id", "a"), "a").select("tile", "a", F.lit(None).cast("long").alias("b"), "shingles")
+    rows = given.unionByName(tiled.withColumn("shingles", F.lit(None).cast("array<long>")))
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_checked(similarity), "a long, b long")
+
+
+def _rest(buckets: DataFrame, keys: DataFrame, low_ids: DataFrame, signed: DataFrame, low: float) -> DataFrame:
+    """The pairs (a, b) of the buckets ``keys`` that two classes share and whose estimate is ``low`` or more, all of them.
+
+    The members outside the bucket's largest class are compared with each other and with those inside, in tiles.
+    """
+    known = buckets.join(keys, "key").join(low_ids, F.col("member") == F.col("first"), "left").select("key", "member", F.coalesce("low", "member").alias("class"))
+    known = stored(known, "rest-buckets")
+    spans = known.groupBy("key", "class").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("top")).where("n > top.n")
+    spans = stored(spans.select("key", F.ceil((F.col("n") - F.col("top.n")) / TILE).alias("others"), F.ceil(F.col("top.n") / TILE).alias("inside"), F.col("top.class").alias("top")), "rest-keys")
+    hashed, is_top = F.xxhash64("key", "member"), F.col("class") == F.col("top")
+    parts = known.join(spans, "key").select(
+        "key",
+        "member",
+        "class",
+        F.when(is_top, F.col("others") + F.pmod(hashed, "inside")).otherwise(F.pmod(hashed, "others")).alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(is_top, F.col("others")).otherwise(F.col("others") + F.col("inside")) - 1)).alias("mate"),
+    )
+    sketches = signed.where("size(bands) > 0").select(F.col("doc_id").alias("member"), "sketch", "bands").dropDuplicates(["member", "sketch"])
+    tiles = parts.join(sketches, "member").select("key", F.least("part", "mate").alias("i"), F.greatest("part", "mate").alias("j"), "member", "class", "part", "sketch", "bands")
+    return tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_crossing(low), "a long, b long").where("a <> b").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = BAND_ROWS, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -299,6 +421,16 @@ def near_duplicates(
     sets = stored(named.join(ends.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(shingler(size), "doc_id long, shingles array<long>"), "shingles")
     links = pairs.where(F.col("estimate") >= high).select("a", "b").unionByName(_similar(open_, sets, similarity))
     low_ids = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("u").alias("first"), F.col("v").alias("low"))
+    # What the blocks left out can still matter where it joins two of these classes.
+    keys = shared.where(F.col("n") > BLOCK).select("key")
+    if not keys.isEmpty():
+        rest = stored(_rest(buckets.select("key", "member"), keys, low_ids, signed, low).join(pairs, ["a", "b"], "left_anti"), "rest")
+        more = stored(rest.select(F.col("a").alias("doc_id")).union(rest.select("b")).distinct(), "rest-ends")
+        if members := more.count():
+            few = F.broadcast(more) if members <= BROADCAST_ROWS else more.hint("merge")
+            sets = stored(named.join(few, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(shingler(size), "doc_id long, shingles array<long>"), "rest-shingles")
+            found = _similar_tiles(rest, sets, members, similarity).select(F.col("a").alias("first"), F.col("b").alias("low"))
+            low_ids = components(low_ids.unionByName(found).toDF("u", "v")).toDF("first", "low")
     classes = signed.select("doc_id", "digest").join(firsts, "digest").join(low_ids, "first", "left").select("doc_id", F.coalesce("low", "first").alias("class_id"))
     nameless = plain.where(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id"))
     return classes.unionByName(nameless).select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
