@@ -7,12 +7,15 @@ coordinate keeps its dart of earliest rank. Two signatures agree in a coordinate
 similarity. Coordinates are joined in bands.
 
 Documents alike word for word are one class from the start and only its first document is compared. What is wanted are
-the components of the similarity graph, and a maximum spanning forest has the components of every threshold. So a
-bucket gives a spanning forest of its members by estimated similarity, and for every cluster it is sure of the likeliest
-links beyond, a number of pairs in proportion to its members, never all pairs. Estimates far above the threshold are
-links, those far below are none, and the others are decided on the shingle sets themselves. Buckets of more than
-``BLOCK`` members are dealt into blocks, otherwise in every band, which share the bucket's first member; so no group is
-larger, whatever share of the rows it has, and members of a group of copies meet in many blocks.
+the components of the similarity graph, so pairs within a class found already need no comparison. Estimates far above
+the threshold are links, those far below are none, and the others are decided on the shingle sets themselves.
+
+First a bucket gives a spanning forest of its members by estimated similarity, and for every cluster it is sure of the
+``BEYOND`` likeliest links beyond. Buckets of more than ``BLOCK`` members are dealt into blocks, otherwise in every band,
+which share the bucket's first member; so members of a group of copies meet in many blocks. The links make classes. Then
+buckets that gave less than all their pairs, and whose members are still of several classes, give every pair that crosses
+two classes and isn't far below the threshold. That is the square of the members outside the bucket's largest class, and
+their product with those inside, in tiles of bounded size.
 """
 
 from __future__ import annotations
@@ -182,9 +185,13 @@ def shingler(size: int):
     return run
 
 
-def block_pairs(sketches: np.ndarray, low: float, high: float) -> list[tuple[int, int, float]]:
+_FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("estimate", pa.float64())])
+
+
+def block_pairs(sketches: np.ndarray, low: float, high: float) -> tuple[list[tuple[int, int, float]], bool]:
     """(i, j, estimate) of a block: its spanning forest over estimates of ``low`` or more, and of every cluster of
-    estimates of ``high`` or more the ``BEYOND`` likeliest pairs with members of other clusters."""
+    estimates of ``high`` or more the ``BEYOND`` likeliest pairs with members of other clusters. And whether there are
+    more pairs of clusters with an estimate of ``low`` or more."""
     n = len(sketches)
     like = np.empty((n, n), np.float32)
     for i in range(n):
@@ -212,21 +219,25 @@ def block_pairs(sketches: np.ndarray, low: float, high: float) -> list[tuple[int
                 break
             i, j = int(mine[at // n]), int(at % n)
             out[min(i, j), max(i, j)] = float(part[at])
-    return [(i, j, e) for (i, j), e in out.items()]
+    taken = sum(group[i] != group[j] for i, j in out)
+    return [(i, j, e) for (i, j), e in out.items()], np.count_nonzero(outside >= low) > 2 * taken
 
 
 def _pairs(low: float, high: float):
-    """Pairs of the blocks; rows come sorted by (key, block)."""
+    """Pairs of the blocks; rows come sorted by (key, block). A block with more pairs gives a row of its key, b null."""
 
-    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, float]]:
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int | None, float]]:
         name, ids, sketches = None, [], []
 
-        def close() -> Iterator[tuple[int, int, float]]:
+        def close() -> Iterator[tuple[int, int | None, float]]:
+            more = False
             if len(ids) == 2:
                 found = [(0, 1, float((np.frombuffer(sketches[0], "<u2") == np.frombuffer(sketches[1], "<u2")).mean()))]
                 found = [x for x in found if x[2] >= low]
             else:
-                found = block_pairs(np.stack([np.frombuffer(x, "<u2") for x in sketches]), low, high) if ids else []
+                found, more = block_pairs(np.stack([np.frombuffer(x, "<u2") for x in sketches]), low, high) if ids else ([], False)
+            if more:
+                yield name[0], None, low
             for i, j, e in found:
                 if ids[i] != ids[j]:
                     yield min(ids[i], ids[j]), max(ids[i], ids[j]), e
@@ -250,12 +261,12 @@ def _pairs(low: float, high: float):
             seen.add((a, b))
             held.append((a, b, e))
             if len(held) >= 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], names=["a", "b", "estimate"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), _FOUND.types, strict=True)], schema=_FOUND)
                 held = []
                 if len(seen) > 500_000:
                     seen.clear()
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*held, strict=True)], names=["a", "b", "estimate"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), _FOUND.types, strict=True)], schema=_FOUND)
 
     return run
 
@@ -414,7 +425,8 @@ def near_duplicates(
     error = (similarity * (1 - similarity) / (bands * rows)) ** 0.5
     low, high = similarity - (SURE + 1) * error, min(1.0, similarity + SURE * error)
     found = sketched.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_pairs(low, high), "a long, b long, estimate double")
-    pairs = stored(found.groupBy("a", "b").agg(F.max("estimate").alias("estimate")), "pairs")
+    found = stored(found.groupBy("a", "b").agg(F.max("estimate").alias("estimate")), "pairs")
+    pairs = found.where("b IS NOT NULL")
     open_ = pairs.where(F.col("estimate") < high).select("a", "b")
     ends = open_.select(F.col("a").alias("doc_id")).union(open_.select("b")).distinct()
     # Merged, at every size: what is joined grows with the corpus.
@@ -422,7 +434,7 @@ def near_duplicates(
     links = pairs.where(F.col("estimate") >= high).select("a", "b").unionByName(_similar(open_, sets, similarity))
     low_ids = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("u").alias("first"), F.col("v").alias("low"))
     # What the blocks left out can still matter where it joins two of these classes.
-    keys = shared.where(F.col("n") > BLOCK).select("key")
+    keys = shared.where(F.col("n") > BLOCK).select("key").union(found.where("b IS NULL").select("a")).distinct()
     if not keys.isEmpty():
         rest = stored(_rest(buckets.select("key", "member"), keys, low_ids, signed, low).join(pairs, ["a", "b"], "left_anti"), "rest")
         more = stored(rest.select(F.col("a").alias("doc_id")).union(rest.select("b")).distinct(), "rest-ends")

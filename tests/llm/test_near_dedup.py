@@ -111,6 +111,12 @@ def test_sparse_links_in_a_family_larger_than_blocks(spark):
     assert {r.doc_id: r.class_id for r in found} == wanted
 
 
+def test_sparse_links_within_a_block(spark):
+    rows = sparse_links(250, 40)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert {r.doc_id: r.class_id for r in found} == dense_brute(rows)
+
+
 def test_empty(nothing):
     assert near_duplicates(nothing).count() == 0
 
