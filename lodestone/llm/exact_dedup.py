@@ -189,7 +189,7 @@ def global_groups(table_bytes: int):
     return run
 
 
-def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", table_bytes: int = TABLE_BYTES, with_uid: bool = False) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when their bytes are; null counts as empty. Of equal texts the row with the largest id stays (a
@@ -201,15 +201,13 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         "exact-local",
     )
     outcome = local.select("digest", "content", "key", "top_id", "n").repartition("digest").select("content", "key", "top_id", "n").mapInArrow(global_groups(table_bytes), _ALL_DDL)
-    uid = [F.hash(F.decode("content", "UTF-8")).alias("uid")] if with_uid else []
-    members = local.select("key", "digest", *uid, F.posexplode("members").alias("place", "doc_id"))
+    members = local.select("key", "digest", F.posexplode("members").alias("place", "doc_id"))
     return members.join(outcome, "key").select(
         "doc_id",
         "keep_id",
         "group_size",
         ((F.col("key") == F.col("keep_key")) & (F.col("place") == 0)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
-        *(["uid"] if with_uid else []),
     )
 
 
@@ -217,12 +215,12 @@ def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: s
     """The rows of ``docs`` that stay, all columns; of rows alike in id and text, one stays.
 
     The rows that go are written first, so Spark knows their size: few are broadcast and the texts aren't shuffled. They
-    are known by id and, for ids that several texts share, by a 32-bit hash of the text.
+    are known by id and, for ids that several texts share, by the SHA-256 of the text.
     """
-    found = exact_dedup(docs, id_column, text_column, table_bytes, with_uid=True).where("not kept")
-    gone = stored(found.select(F.col("doc_id").alias("_gone_id"), F.col("uid").alias("_gone_uid"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_again")), "exact-gone")
+    found = exact_dedup(docs, id_column, text_column, table_bytes).where("not kept")
+    gone = stored(found.select(F.col("doc_id").alias("_gone_id"), F.unhex("text_sha256").alias("_gone_uid"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_again")), "exact-gone")
     other = gone.where("not _again").distinct()
-    rows = docs.withColumn("_uid", F.hash(F.coalesce(F.col(text_column).cast("string"), F.lit("")))).withColumn("_id", F.col(id_column).cast("long"))
+    rows = docs.withColumn("_uid", F.unhex(F.sha2(F.coalesce(F.col(text_column).cast("string"), F.lit("")), 256))).withColumn("_id", F.col(id_column).cast("long"))
     stay = rows.join(other, rows["_id"].eqNullSafe(other["_gone_id"]) & (rows["_uid"] == other["_gone_uid"]), "left_anti")
     if not gone.where("_again").isEmpty():
         stay = stay.dropDuplicates(["_id", "_uid"])

@@ -2,6 +2,8 @@ import hashlib
 import os
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from lodestone.llm.exact_dedup import drop_exact_copies, exact_dedup, grace_groups
 from lodestone.llm.queries import op9_exact_dedup
 
@@ -59,3 +61,12 @@ def test_grace_recursion_and_scratch(tmp_path):
 def test_copies_have_the_same_hash_path_at_every_level():
     same = [(b"x" * 1000, (k,)) for k in range(500)] + [(b"y" * 1000, (k,)) for k in range(500)]
     assert sorted(len(m) for _, m in grace_groups(iter(same), "q", table_bytes=10)) == [500, 500]
+
+
+def test_texts_of_equal_short_hashes_stay_apart(spark):
+    texts = spark.range(200_000).selectExpr("cast(id as string) as text")
+    x, y = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("t")).where("size(t) > 1").first()["t"][:2]
+    docs = spark.createDataFrame([(None, x), (None, y), (None, x), (1, x), (1, y), (2, x)], "doc_id long, text string")
+    assert sorted(map(tuple, drop_exact_copies(docs).collect())) == sorted([(2, x), (1, y)])
+    nameless = docs.where("doc_id is null")
+    assert sorted(r.text for r in drop_exact_copies(nameless).collect()) == sorted([x, y])
