@@ -47,7 +47,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents are drawn at their fitted rates, once at most."""
-    return _without(docs, mix(docs, table(spark, sf_dir, "labels")).where("not kept"))
+    return _without(docs, mix(docs, table(spark, sf_dir, "labels"), bound=1.0).where("not kept"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,7 +103,7 @@ def posteriors(docs: DataFrame, model: bytes) -> DataFrame:
     )
 
 
-def _sums(moves: list[np.ndarray], choices: list[np.ndarray], names: list[str], anchor: int | None):
+def _sums(moves: list[np.ndarray], choices: list[np.ndarray], names: list[str], anchor: int | None, most: float):
     """Per task and choice of the next move: the domains' expected tokens, then the Gram matrix of the free documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,22 +116,23 @@ def _sums(moves: list[np.ndarray], choices: list[np.ndarray], names: list[str],
             if anchor is not None:
                 least[p[:, anchor] >= p.max(axis=1)] = 1.0
             for move in moves:
-                rate = np.maximum(least, rate + p @ move)
+                rate = np.clip(rate + p @ move, least, most)
             for c, move in enumerate(choices):
-                moved = np.maximum(least, rate + p @ move)
+                moved = np.clip(rate + p @ move, least, most)
                 total[c, :k] += (moved * tokens) @ p
-                total[c, k:] += ((p * (tokens * (moved > least))[:, None]).T @ p).ravel()
+                total[c, k:] += ((p * (tokens * ((moved > least) & (moved < most)))[:, None]).T @ p).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["place", "value"])
 
     return run
 
 
 def fit_rates(
-    members: DataFrame, targets: Mapping[str, float] = TARGETS, total: float | None = None, protect: bool = True, steps: int = 30, tolerance: float = 1e-3
+    members: DataFrame, targets: Mapping[str, float] = TARGETS, total: float | None = None, protect: bool = True, steps: int = 30, tolerance: float = 1e-3, bound: float = float("inf")
 ) -> tuple[Column, list[float]]:
     """(rate as an expression over ``members``' posteriors, the expected share of each domain it gives).
 
-    From rates of 1, each step moves every rate along its posteriors and projects onto the least rate, 0 or 1. The move is
+    From rates of 1, each step moves every rate along its posteriors and projects onto the least rate, 0 or 1, and
+    ``bound``, which is 1 where rows can't be repeated. The move is
     the gradient, plain with a step that always descends or a multiple of it, or scaled with the inverse Gram
     matrix of the documents whose rate isn't held at 0, whole or in part; one distributed pass weighs all of these and
     the best is taken. ``total`` is the expected tokens altogether; by default as many as leave the domain
@@ -143,7 +144,7 @@ def fit_rates(
     k, anchor = len(names), int(np.argmax(weights))
 
     def weighed(moves: list[np.ndarray], choices: list[np.ndarray]) -> np.ndarray:
-        found = members.mapInArrow(_sums(moves, choices, names, anchor if protect else None), "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).collect()
+        found = members.mapInArrow(_sums(moves, choices, names, anchor if protect else None, bound), "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).collect()
         out = np.zeros(len(choices) * (k + k * k))
         for row in found:
             out[row["place"]] = row["value"]
@@ -174,17 +175,19 @@ def fit_rates(
     least = F.when(p[anchor] >= F.greatest(*p), 1.0).otherwise(0.0) if protect else F.lit(0.0)
     rate = F.lit(1.0)
     for move in moves:
-        rate = F.greatest(least, rate + sum((x * float(m) for x, m in zip(p, move, strict=True)), F.lit(0.0)))
+        rate = F.least(F.lit(bound), F.greatest(least, rate + sum((x * float(m) for x, m in zip(p, move, strict=True)), F.lit(0.0))))
     return rate, [float(s) for s in now[:k] / max(now[:k].sum(), 1e-12)]
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, rows: int = SAMPLE_ROWS) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, rows: int = SAMPLE_ROWS, bound: float = float("inf")) -> DataFrame:
     """Per document: doc_id, n_tokens, p_<domain>, rate, and ``kept``: whether a draw by the id's hash is below the rate.
 
+    A draw keeps a row once at most; where only ``kept`` is used, a ``bound`` of 1 fits the rates that it can honour.
+
     Null and empty texts have no tokens; their rate follows their posteriors. Repeated rows share rate and draw. An
     empty table gives an empty result. Without labels all documents have equal posteriors.
     """
     members = stored(posteriors(docs, fit_domains(docs, labels, rows)), "posteriors")
-    rate, _ = fit_rates(members, targets)
+    rate, _ = fit_rates(members, targets, bound=bound)
     draw = F.pmod(F.xxhash64(F.lit("mix"), "doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
     return members.withColumn("rate", rate).withColumn("kept", draw < F.col("rate"))

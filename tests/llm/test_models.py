@@ -96,6 +96,26 @@ def test_rates_are_the_least_squares_solution(spark, targets, protect):
     assert (found >= 0).all() and (not protect or (found[p[:, 0] >= p.max(axis=1)] >= 1).all()) and loss(found) <= loss(brute_rates(p, tokens.astype(float), wanted, protect)) + 2e-3
 
 
+def test_bounded_rates_are_least_squares_that_a_draw_honours(spark):
+    rng = np.random.default_rng(5)
+    p = np.vstack([rng.dirichlet(a, n) for a, n in (([20, 0.2, 0.2], 1900), ([0.2, 20, 0.2], 30), ([0.2, 0.2, 20], 400))])
+    tokens = rng.integers(50, 500, len(p))
+    members = spark.createDataFrame([(k, int(n), *map(float, q)) for k, (n, q) in enumerate(zip(tokens, p, strict=True))], "doc_id long, n_tokens long, p_clean double, p_low double, p_toxic double")
+    rate, shares = fit_rates(members, bound=1.0)
+    found = members.withColumn("rate", rate).toPandas().sort_values("doc_id")["rate"].to_numpy()
+    assert (found >= 0).all() and (found <= 1).all()
+    kept = rng.random((200, len(p))) < found
+    drawn = (kept * tokens) @ p
+    assert np.allclose((drawn / drawn.sum(1, keepdims=True)).mean(0), shares, atol=0.003)
+    # Low is short: it keeps all it has. Toxic is not, and comes down to its target.
+    least, wanted = (p[:, 0] >= p.max(axis=1)) * 1.0, np.array([0.9, 0.05, 0.05]) * (tokens @ p)[0] / 0.9
+    best, top = np.ones(len(p)), np.linalg.eigvalsh((p * tokens[:, None]).T @ p)[-1]
+    for _ in range(20_000):
+        best = np.clip(best + p @ (wanted - (best * tokens) @ p) / top, least, 1)
+    loss = lambda r: (((r * tokens) @ p - wanted) ** 2).sum() / wanted.sum() ** 2
+    assert loss(found) <= loss(best) + 1e-4 and shares[1] < 0.03 and abs(shares[2] - 0.05) < 0.01
+
+
 def test_temperature_softens_a_net_that_is_too_sure():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 60))
