@@ -2,7 +2,8 @@
 
 Every stage takes what its predecessor kept, as a table read from Parquet, and all but the last return the columns of
 ``documents``. A stage removes rows; it never changes one. Rows with null ids or texts, repeated rows and empty tables are
-treated as the stage's operator defines; rows that a class or a draw can't name (null ids) stay.
+treated as the stage's operator defines; rows that a class or a draw can't name (null ids)
+stay, and rows of one id share its class and draw. Quality is decided row by row.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.classifier import fit_quality, score_quality
+from lodestone.llm.classifier import fit_quality, keep_good
 from lodestone.llm.common import stored, table
 from lodestone.llm.exact_dedup import drop_exact_copies
 from lodestone.llm.mixing import mix
@@ -30,9 +31,8 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: documents that the classifier rejects go. Fitted on the labelled ones of the input."""
-    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
-    return _without(docs, scored.where("predicted = 0"))
+    """Operator 10: rows whose text the classifier rejects go. Fitted on the labelled ones of the input."""
+    return keep_good(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

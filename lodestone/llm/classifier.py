@@ -7,7 +7,7 @@ Training takes at most ``SAMPLE_ROWS`` labelled rows, those of the smallest id h
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ from .textnet import Buckets, Net, packed, unpacked
 
 #: The bound on training rows, fewer if fewer are labelled.
 SAMPLE_ROWS = 6000
+#: Documents of a lower score are rejected.
+THRESHOLD = 0.3
 DIMENSIONS, BITS, WINDOW = 32, 15, 2
 
 
@@ -104,7 +106,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
     return fitted(labelled_sample(docs, labels, F.col("quality"), rows), train)
 
 
-def score_quality(docs: DataFrame, model: bytes, threshold: float = 0.3) -> DataFrame:
+def _scores(shared) -> Callable[[pa.RecordBatch], np.ndarray]:
+    """Scores of a batch's texts by the broadcast model."""
+    arrays = unpacked(shared.value)
+    vectors, net, buckets = arrays.pop("vectors").astype(np.float32), Net(**arrays), Buckets(BITS)
+
+    def of(batch: pa.RecordBatch) -> np.ndarray:
+        found = [net.predict(np.array([features(t.split(), buckets, vectors) for t in texts]))[:, 1] for _, texts in texts_of(batch, "text")]
+        return np.concatenate(found or [np.zeros(0)])
+
+    return of
+
+
+def score_quality(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted.
 
     Null and empty texts are scored as a text without words. A null doc_id counts as held out. Repeated rows are
@@ -113,11 +127,21 @@ def score_quality(docs: DataFrame, model: bytes, threshold: float = 0.3) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays = unpacked(shared.value)
-        vectors, net, buckets = arrays.pop("vectors").astype(np.float32), Net(**arrays), Buckets(BITS)
+        scores = _scores(shared)
         for batch in batches:
-            found = [net.predict(np.array([features(t.split(), buckets, vectors) for t in texts]))[:, 1] for _, texts in texts_of(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found or [np.zeros(0)]))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(batch))], names=["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(score, "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(True)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose own text scores ``threshold`` or more, whatever their ids."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = _scores(shared)
+        for batch in batches:
+            yield batch.filter(pa.array(scores(batch) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -69,3 +69,15 @@ def test_stages_take_messy_and_empty_tables(spark, messy, nothing, name, stage):
     if name != "best_fit_packing":
         assert found.columns == messy[1].columns
     assert stage(spark, nothing, SF).count() == 0
+
+
+def test_quality_is_decided_by_row_not_by_id(spark):
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, SF, "labels").collect()}
+    docs = table(spark, SF, "documents")
+    kept = {r.doc_id for r in corpus_pipeline.quality(spark, docs, SF).collect()}
+    rows = {r.doc_id: r for r in docs.collect()}
+    good = next(rows[i] for i in sorted(labels) if labels[i] == 1 and i in kept and i in rows)
+    bad = next(rows[i] for i in sorted(labels) if labels[i] == 0 and i not in kept and i in rows)
+    extra = [r.asDict() | {"doc_id": i} for r in (good, bad) for i in (None, 2**40)]
+    found = corpus_pipeline.quality(spark, docs.unionByName(spark.createDataFrame(extra, docs.schema)), SF)
+    assert sorted((r.doc_id or 0, r.text) for r in found.where(f"doc_id is null or doc_id = {2**40}").collect()) == [(0, good.text), (2**40, good.text)]
