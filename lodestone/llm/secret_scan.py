@@ -2,7 +2,8 @@
 
 Every version of every path is addressed by the SHA-256 of its content. A ledger row says which rule versions have seen
 a blob and what they found; a scan reads only blobs that lack a current rule version, and only with the rules they lack.
-Findings join back to all paths by blob. Built-in expressions only.
+Findings join back to all paths by blob. The ledger is a Parquet table in a folder of the caller's, which every run appends
+to. Built-in expressions only.
 """
 
 from __future__ import annotations
@@ -10,10 +11,10 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, stored
+from .common import fresh_path, let, stored
 
 
 @dataclass(frozen=True)
@@ -51,26 +52,28 @@ RULES = BASE_RULES + MORE_RULES
 FINDINGS = "array<struct<version:string,start:int,end:int>>"
 
 
+def running_sum(lengths: Column) -> Column:
+    """Inclusive prefix sums of a non-empty array, in as many passes as its size has binary digits."""
+    passes = F.slice(F.sequence(F.lit(0), F.lit(30)), F.lit(1), F.length(F.bin(F.size(lengths) - 1)))
+    return F.aggregate(passes, lengths, lambda acc, p: F.transform(acc, lambda x, k: x + F.coalesce(F.get(acc, k - F.call_function("shiftleft", F.lit(1), p)), F.lit(0))))
+
+
 def spans(text: Column, rule: Rule) -> Column:
     """Leftmost non-overlapping spans in code points: gaps between matches and matches add up to places."""
 
     def placed(parts: Column) -> Column:
-        gaps, found, groups = parts["gaps"], parts["found"], parts["groups"]
+        found, groups = parts["found"], parts["groups"]
+        steps = F.transform(found, lambda x, k: F.length(x) + F.length(F.get(parts["gaps"], k)))
+        long_enough = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda k: F.length(F.get(groups, k)) >= rule.least)
 
-        def step(acc: Column, k: Column) -> Column:
-            start = acc["at"] + F.length(F.get(gaps, k))
-            end = start + F.length(F.get(found, k))
-            one = F.when(
-                F.length(F.get(groups, k)) >= rule.least, F.array(F.struct(F.lit(rule.version).alias("version"), start.alias("start"), end.alias("end")))
-            ).otherwise(F.array().cast(FINDINGS))
-            return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out"))
+        def span(ends: Column, k: Column) -> Column:
+            end = F.get(ends, k)
+            return F.struct(F.lit(rule.version).alias("version"), (end - F.length(F.get(found, k))).alias("start"), end.alias("end"))
 
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(found) - 1), F.struct(F.lit(0).alias("at"), F.array().cast(FINDINGS).alias("out")), step, lambda acc: acc["out"]
-        )
+        return let(steps, lambda x: let(running_sum(x), lambda ends: F.transform(long_enough, lambda k: span(ends, k))))
 
     whole = F.regexp_extract_all(text, F.lit(f"({rule.pattern})"), F.lit(1))
-    group = F.regexp_extract_all(text, F.lit(f"({rule.pattern})"), F.lit(rule.group + 1))
+    group = F.regexp_extract_all(text, F.lit(f"({rule.pattern})"), F.lit(rule.group + 1)) if rule.group else whole
     parts = F.struct(F.split(text, rule.pattern, -1).alias("gaps"), whole.alias("found"), group.alias("groups"))
     return F.when(text.rlike(rule.pattern), let(parts, placed)).otherwise(F.array().cast(FINDINGS))
 
@@ -99,16 +102,33 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, rules: tup
     return due.select("blob_id", "rule_versions", F.concat(*found).alias("findings"))
 
 
+LEDGER = f"blob_id binary, rule_versions array<string>, findings {FINDINGS}"
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ledger in the folder ``path``; None where no run has written one."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    return spark.read.schema(LEDGER).parquet(path) if there else None
+
+
 def scan_versions(
-    versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, id_column: str = "doc_id", content_column: str = "text"
-) -> tuple[DataFrame, DataFrame]:
-    """(findings per path, new ledger rows), the latter written to the shared folder for the next run's ledger.
+    versions: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, id_columns: tuple[str, ...] = ("doc_id",), content_column: str = "text"
+) -> tuple[DataFrame, str]:
+    """(findings per version of a path, the ledger's folder).
+
+    The blob and rule-version pairs that the ledger in ``ledger_path`` lacks are scanned and appended to it; that folder
+    stays. Without a path the ledger is a new one in the shared folder, which goes with the session. An append that fails
+    leaves no rows, so a run can be repeated; two runs on one ledger at a time may both scan a pair, which changes nothing.
 
-    Findings per path: doc_id, spans array<struct<kind, start, end>> ordered by start, then by the rules' order.
-    Every input row has a result, repeated ones too; a row without text or secrets has an empty array.
+    Findings: ``id_columns`` (a path, or a path and a version), blob_id, spans array<struct<kind, start, end>> ordered by
+    start, then by the rules' order. Every input row has a result, repeated ones too; a row without text or secrets has an
+    empty array, null ids included. An empty table gives an empty result; other columns are not read.
     """
-    new = stored(scan_unseen(versions, ledger, rules, content_column), "secret-ledger")
-    known = new if ledger is None else ledger.select(*new.columns).unionByName(new)
+    spark = versions.sparkSession
+    path = ledger_path or fresh_path(spark, "secret-ledger")
+    scan_unseen(versions, read_ledger(spark, path), rules, content_column).write.mode("append").parquet(path)
+    known = spark.read.schema(LEDGER).parquet(path)
     current = {r.version: k for k, r in enumerate(rules)}
     kinds = F.array(*[F.lit(r.kind) for r in rules])
     place = F.array(*[F.lit(v) for v in current])
@@ -116,16 +136,18 @@ def scan_versions(
     def listed(findings: Column) -> Column:
         valid = F.filter(findings, lambda x: F.array_contains(place, x["version"]))
         ranked = F.transform(valid, lambda x: F.struct(x["start"].alias("start"), (F.array_position(place, x["version"]) - 1).cast("int").alias("rank"), x["end"].alias("end")))
-        return F.transform(F.sort_array(ranked), lambda x: F.struct(F.get(kinds, x["rank"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
+        # Pairs scanned twice: equal neighbours. (array_distinct compares structs all with all.)
+        once = let(F.sort_array(ranked), lambda all_: F.filter(all_, lambda x, k: (k == 0) | (x != F.get(all_, k - 1))))
+        return F.transform(once, lambda x: F.struct(F.get(kinds, x["rank"]).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
 
-    some = known.where(F.size("findings") > 0)
-    by_blob = some.select("blob_id", "findings") if ledger is None else some.groupBy("blob_id").agg(F.flatten(F.collect_list("findings")).alias("findings"))
-    by_blob = by_blob.select("blob_id", listed(F.col("findings")).alias("spans"))
+    some = known.where(F.size("findings") > 0).groupBy("blob_id").agg(F.flatten(F.collect_list("findings")).alias("findings"))
+    # Written, so that the join shuffles both sides and can split a blob that a third of all paths have.
+    by_blob = stored(some.select("blob_id", listed(F.col("findings")).alias("spans")), "secret-findings")
     content = F.coalesce(F.col(content_column).cast("string"), F.lit(""))
-    paths = versions.select(F.col(id_column).alias("doc_id"), blob_id(content).alias("blob_id"))
+    paths = versions.select(*id_columns, blob_id(content).alias("blob_id"))
     joined = paths.join(by_blob, "blob_id", "left")
     empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
-    return joined.select("doc_id", "blob_id", F.coalesce("spans", empty).alias("spans")), new
+    return joined.select(*id_columns, "blob_id", F.coalesce("spans", empty).alias("spans")), path
 
 
 def span_text(found: Column) -> Column:

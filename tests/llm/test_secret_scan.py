@@ -1,8 +1,9 @@
 import hashlib
 import re
+import time
 
 from lodestone.llm.queries import op1_secret_scan
-from lodestone.llm.secret_scan import RULES, Rule, scan_versions, secret_digest
+from lodestone.llm.secret_scan import RULES, Rule, read_ledger, scan_versions, secret_digest
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 
@@ -50,19 +51,36 @@ def test_added_rules_add_spans_only(spark):
     assert row.spans == "github:0:43,assign:44:57" and row.base_sha256 == brute(text)[3]
 
 
-def test_ledger_scans_only_unseen_pairs(spark):
-    docs = spark.createDataFrame([(1, "secret=abcdef"), (2, "secret=abcdef"), (3, "plain")], "doc_id long, text string")
-    first, ledger = scan_versions(docs)
-    assert ledger.count() == 2
-    again, new = scan_versions(docs.union(spark.createDataFrame([(4, "token=ghijkl")], docs.schema)), ledger)
-    assert new.count() == 1
-    assert {r.doc_id: len(r.spans) for r in again.collect()} == {1: 1, 2: 1, 3: 0, 4: 1}
+def test_a_text_of_very_many_matches(spark):
+    rows = [(1, "é " + " ".join(f"{k:024x}" for k in range(200_000))), (2, "token=abcdef" + ";;token=abcdef" * 1000)]
+    began = time.perf_counter()
+    check(secret_digest(scan_versions(spark.createDataFrame(rows, "doc_id long, text string"))[0]), rows)
+    assert time.perf_counter() - began < 30
+
+
+def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    schema = "path string, version int, text string"
+    docs = spark.createDataFrame([("a", 1, "secret=abcdef"), ("b", 1, "secret=abcdef"), ("c", 1, "plain")], schema)
+
+    def scan(versions, rules=RULES):
+        before = {tuple(map(str, r)) for r in (read_ledger(spark, path).collect() if (tmp_path / "ledger").exists() else [])}
+        found, _ = scan_versions(versions, path, rules, id_columns=("path", "version"))
+        new = [r for r in read_ledger(spark, path).collect() if tuple(map(str, r)) not in before]
+        return {(r.path, r.version): [s.kind for s in r.spans] for r in found.collect()}, new
+
+    found, new = scan(docs)
+    assert len(new) == 2 and found == {("a", 1): ["assign"], ("b", 1): ["assign"], ("c", 1): []}
+    assert scan(docs)[1] == []
+    # A new version of one path, and an old content under a new path: one new blob.
+    found, new = scan(docs.union(spark.createDataFrame([("a", 2, "token=ghijkl"), ("d", 1, "plain")], schema)))
+    assert len(new) == 1 and found[("a", 2)] == ["assign"] and found[("a", 1)] == ["assign"] and found[("d", 1)] == []
     rules = (*RULES, Rule("word", "plain"))
-    third, newer = scan_versions(docs, ledger, rules)
-    assert {tuple(r.rule_versions) for r in newer.collect()} == {(rules[-1].version,)}
-    assert {r.doc_id: [s.kind for s in r.spans] for r in third.collect()} == {1: ["assign"], 2: ["assign"], 3: ["word"]}
+    found, new = scan(docs, rules)
+    assert len(new) == 2 and {tuple(r.rule_versions) for r in new if r.findings} == {(rules[-1].version,)}
+    assert found == {("a", 1): ["assign"], ("b", 1): ["assign"], ("c", 1): ["word"]}
 
 
-def test_empty(nothing):
-    findings, ledger = scan_versions(nothing)
-    assert findings.count() == 0 and ledger.count() == 0
+def test_empty(spark, nothing):
+    findings, path = scan_versions(nothing)
+    assert findings.count() == 0 and read_ledger(spark, path).count() == 0
