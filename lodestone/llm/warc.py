@@ -1,7 +1,7 @@
 """WARC archives with an index written first.
 
-``write_archives`` writes gzip-per-record WARC files and returns the index: file, offset, length, URL and digest of every
-record. ``read_records`` takes any selection of index rows, sorts them by file and offset, reads neighbouring ranges in
+``write_archives`` writes gzip-per-record WARC files, each with a warcinfo record first, and returns the index: file, offset,
+length, URL and digest of every record of a page. ``read_records`` takes any selection of index rows, sorts them by file and offset, reads neighbouring ranges in
 one request and parses the records. Archives lie in the shared folder; they are opened through pyarrow's filesystems.
 """
 
@@ -33,35 +33,55 @@ def opened(folder: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pa.fs.LocalFileSystem(), folder)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes | None, sha1: str, size: int, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record; a revisit (``payload`` None) has no block."""
-    block = payload or b""
-    head = [
-        "WARC/1.1",
-        f"WARC-Type: {'response' if payload is not None else 'revisit'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url}')}>",
-        "WARC-Date: 1970-01-01T00:00:00Z",
-        f"WARC-Target-URI: {(url or '').translate({10: None, 13: None})}",
-        f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(sha1)).decode()}",
-        f"X-Page-Id: {'' if page_id is None else page_id}",
-        f"X-Payload-Length: {size}",
-        "Content-Type: text/html; charset=utf-8",
-    ]
+#: A read task's share of the archives, unless that makes more than so many tasks.
+SLICE_BYTES, READ_TASKS = 4 << 20, 20_000
+
+
+def record(name: str, page_id: int | None, url: str | None, payload: bytes | None, sha1: str, size: int, refers: tuple[int, str | None] | None = None) -> bytes:
+    """One WARC/1.1 record. A response holds an HTTP message; a revisit (``payload`` None) has no block and names the
+    page and URL it ``refers`` to. ``name`` is unlike any other record's."""
+    one_line = lambda text: (text or "").translate({10: None, 13: None})
+    fields = {
+        "WARC-Type": "revisit" if payload is None else "response",
+        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>",
+        "WARC-Date": "1970-01-01T00:00:00Z",
+        "WARC-Target-URI": one_line(url),
+        "WARC-Payload-Digest": f"sha1:{base64.b32encode(bytes.fromhex(sha1)).decode()}",
+        "X-Page-Id": "" if page_id is None else str(page_id),
+        "X-Payload-Length": str(size),
+        "Content-Type": "application/http; msgtype=response",
+    }
+    block = b""
     if payload is None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To-Page: {refers_to}"]
-    return "\r\n".join([*head, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+        fields["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+        fields |= {"WARC-Refers-To-Target-URI": one_line(refers[1]), "WARC-Refers-To-Date": fields["WARC-Date"], "X-Refers-To-Page": str(refers[0])}
+    else:
+        block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
+    return framed(fields, block)
+
+
+def framed(fields: dict[str, str], block: bytes) -> bytes:
+    head = "\r\n".join(["WARC/1.1", *(f"{k}: {v}" for k, v in fields.items()), f"Content-Length: {len(block)}"])
+    return head.encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def info(name: str) -> bytes:
+    fields = {"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>", "WARC-Date": "1970-01-01T00:00:00Z", "WARC-Filename": name, "Content-Type": "application/warc-fields"}
+    return framed(fields, b"software: lodestone\r\nformat: WARC File Format 1.1\r\n")
 
 
 def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
+    """(fields, payload): the payload is the body of a response's HTTP message."""
     head, _, rest = raw.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
-    if not lines[0].startswith("WARC/"):
+    first, *lines = head.decode().split("\r\n")
+    if not first.startswith("WARC/"):
         raise ValueError("not a WARC record")
-    fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
+    fields = {k: v.strip() for k, _, v in (line.partition(":") for line in lines)}
     size = int(fields["Content-Length"])
     if rest[size : size + 4] != b"\r\n\r\n":
         raise ValueError("a WARC record is cut short")
-    return fields, rest[:size]
+    block = rest[:size]
+    return fields, block.partition(b"\r\n\r\n")[2] if fields["WARC-Type"] == "response" else block
 
 
 def _gzip(data: bytes) -> bytes:
@@ -85,14 +105,17 @@ def writer(folder: str):
                 rows = []
                 for low in range(0, batch.num_rows, 256):
                     part = batch.slice(low, 256)
-                    page, url, html, sha1, size, refers = (part.column(c).to_pylist() for c in ("page_id", "url", "html", "sha1", "size", "refers_to"))
-                    for i, u, text, digest, n, r in zip(page, url, html, sha1, size, refers, strict=True):
+                    names = ("page_id", "url", "html", "sha1", "size", "refers_to", "refers_url")
+                    for i, u, text, digest, n, r, r_url in zip(*(part.column(c).to_pylist() for c in names), strict=True):
                         if out is None or at >= FILE_BYTES:
                             if out:
                                 out.close()
-                            name, at = f"{stem}-{number}.warc.gz", 0
+                            name = f"{stem}-{number}.warc.gz"
                             out, number = fs.open_output_stream(f"{root}/{name}", compression=None), number + 1
-                        packed = _gzip(record(i, u, text.encode() if text is not None else None, digest, n, r))
+                            packed = _gzip(info(name))
+                            out.write(packed)
+                            at = len(packed)
+                        packed = _gzip(record(f"{name} {at}", i, u, text.encode() if text is not None else None, digest, n, (r, r_url)))
                         out.write(packed)
                         rows.append((i, u, digest, "revisit" if text is None else "response", name, at, len(packed)))
                         at += len(packed)
@@ -110,26 +133,22 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = REV
 
     Of equal payloads of ``least`` bytes or more the row with the largest page_id is a response and the others revisit
     it; smaller ones are responses. A null html is an empty payload, a null url an empty one; a row with a null
-    page_id is always a response. Repeated rows are written each; those of the largest page_id are all responses.
+    page_id is always a response. Rows may share a page_id and not the html: each goes by its own. Repeated rows are
+    written each; those of the largest page_id are all responses. An empty table gives an empty index; other columns are
+    not read.
     """
     folder = folder or fresh_path(pages.sparkSession, "warc")
     fs, root = opened(folder)
     fs.create_dir(root, recursive=True)
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html")).withColumn("size", F.octet_length("html").cast("long"))
-    strong = rows.where(F.col("page_id").isNotNull() & (F.col("size") >= least)).select("page_id", F.unhex(F.sha2("html", 256)).alias("sha256"))
+    rows = rows.withColumn("same", F.when(F.col("page_id").isNotNull() & (F.col("size") >= least), F.unhex(F.sha2("html", 256))))
+    strong = rows.where("same IS NOT NULL").select("page_id", "url", "same")
     # The group's largest id; only groups with several ids have revisits, so what is joined back is small.
-    top = strong.groupBy("sha256").agg(F.max("page_id").alias("top"), F.min("page_id").alias("low")).where("top > low").drop("low")
-    repeats = strong.join(top, "sha256").where("page_id < top").select("page_id", F.col("sha256").alias("same"), F.col("top").alias("refers_to")).distinct()
-    dealt = rows.withColumn("_sha", F.unhex(F.sha2("html", 256))).join(repeats, "page_id", "left")
-    same = (F.col("_sha") == F.col("same")) & (F.col("size") >= least)
-    typed = dealt.select(
-        "page_id",
-        "url",
-        F.sha1("html").alias("sha1"),
-        "size",
-        F.when(F.coalesce(same, F.lit(False)), F.col("refers_to")).alias("refers_to"),
-        F.when(~F.coalesce(same, F.lit(False)), F.col("html")).alias("html"),
+    top = strong.groupBy("same").agg(F.max(F.struct("page_id", "url")).alias("top"), F.min("page_id").alias("low")).where("top.page_id > low").drop("low")
+    repeats = strong.drop("url").join(top, "same").where("page_id < top.page_id").select("page_id", "same", F.col("top.page_id").alias("refers_to"), F.col("top.url").alias("refers_url")).distinct()
+    typed = rows.join(repeats, ["page_id", "same"], "left").select(
+        "page_id", "url", F.sha1("html").alias("sha1"), "size", "refers_to", "refers_url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html")
     )
     return stored(typed.mapInArrow(writer(folder), _INDEX_DDL), "warc-index"), folder
 
@@ -182,7 +201,7 @@ def reader(folder: str, with_payload: bool):
                                 raise ValueError(f"{name} at {offset}: the payload's digest is {found}, not {declared}")
                             row = (page, fields["WARC-Target-URI"], "response", len(payload), found, None, payload)
                         else:
-                            row = (page, fields["WARC-Target-URI"], "revisit", int(fields["X-Payload-Length"]), declared, int(fields["WARC-Refers-To-Page"]), None)
+                            row = (page, fields["WARC-Target-URI"], "revisit", int(fields["X-Payload-Length"]), declared, int(fields["X-Refers-To-Page"]), None)
                         rows.append(row[: len(names)])
                         k += 1
                 for low in range(0, len(rows), 2000):
@@ -199,7 +218,12 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = False) -> D
     """The records of the index rows given, read by coalesced byte ranges in file order.
 
     Responses are checked against their digest. A revisit's size, digest and referred page are those of its record;
-    its payload is null (join ``refers_to`` to the response).
+    its payload is null (join ``refers_to`` to the response). Tasks take neighbouring ranges of about ``SLICE_BYTES`` of
+    archive each; their number is given, since Spark would join them by the index's bytes, which are few. Rows given twice
+    are read twice; an empty index gives no records.
     """
-    ordered = index.select("file", "offset", "length").repartition("file", F.floor(F.col("offset") / (64 << 20))).sortWithinPartitions("file", "offset")
+    places = index.select("file", "offset", "length")
+    total = places.agg(F.sum("length")).first()[0] or 0
+    tasks = min(READ_TASKS, max(1, -(-total // SLICE_BYTES)))
+    ordered = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(reader(folder, with_payload), _RECORD_DDL + (", payload binary" if with_payload else ""))

@@ -45,10 +45,18 @@ def test_every_index_row_is_a_record_of_its_own(spark):
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
     index, folder = write_archives(pages)
     fs, root = opened(folder)
+    names = set()
     for r in index.collect():
         with fs.open_input_file(f"{root}/{r.file}") as f:
             fields, _ = parse(zlib.decompress(f.read_at(r.length, r.offset), 31))
         assert fields["X-Page-Id"] == ("" if r.page_id is None else str(r.page_id)) and fields["WARC-Type"] == r.record_type
+        names.add(fields["WARC-Record-ID"])
+        if r.record_type == "revisit":
+            assert fields["WARC-Refers-To-Target-URI"] == {3: "http://a/3X-Evil: 1", 10: "u", 21: "v", 22: "w"}[int(fields["X-Refers-To-Page"])]
+    assert len(names) == len(ROWS)
+    for name in {r.file for r in index.collect()}:
+        with fs.open_input_file(f"{root}/{name}") as f:
+            assert parse(zlib.decompressobj(31).decompress(f.read()))[0]["WARC-Type"] == "warcinfo"
 
 
 def test_selected_records_only(spark):
@@ -73,5 +81,5 @@ def test_ranges_join_near_places():
 
 
 def test_record_parses():
-    fields, payload = parse(record(1, "http://x", b"a\r\n\r\nb", "00" * 20, 7, None))
+    fields, payload = parse(record("n", 1, "http://x", b"a\r\n\r\nb", "00" * 20, 7))
     assert payload == b"a\r\n\r\nb" and fields["WARC-Type"] == "response"
