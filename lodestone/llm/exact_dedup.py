@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, text_uid, unused
 
 #: Bytes of distinct content that a task holds before it partitions to spill files.
 TABLE_BYTES = 64 << 20
@@ -212,16 +212,18 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; of rows alike in id and text, one stays.
+    """The rows of ``docs`` that stay, all columns, whatever their names; of rows alike in id and text, one stays.
 
     The rows that go are written first, so Spark knows their size: few are broadcast and the texts aren't shuffled. They
-    are known by id and, for ids that several texts share, by the SHA-256 of the text.
+    are known by id and half of the text's SHA-256.
     """
+    at, uid, gone_id, gone_uid, again, one = unused(docs.columns, "id", "uid", "gone_id", "gone_uid", "again", "one")
     found = exact_dedup(docs, id_column, text_column, table_bytes).where("not kept")
-    gone = stored(found.select(F.col("doc_id").alias("_gone_id"), F.unhex("text_sha256").alias("_gone_uid"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_again")), "exact-gone")
-    other = gone.where("not _again").distinct()
-    rows = docs.withColumn("_uid", F.unhex(F.sha2(F.coalesce(F.col(text_column).cast("string"), F.lit("")), 256))).withColumn("_id", F.col(id_column).cast("long"))
-    stay = rows.join(other, rows["_id"].eqNullSafe(other["_gone_id"]) & (rows["_uid"] == other["_gone_uid"]), "left_anti")
-    if not gone.where("_again").isEmpty():
-        stay = stay.dropDuplicates(["_id", "_uid"])
-    return stay.drop("_id", "_uid")
+    # A row whose own id stays is one of several alike.
+    gone = found.groupBy(F.col("doc_id").alias(gone_id), F.substring(F.unhex("text_sha256"), 1, 16).alias(gone_uid)).agg(F.max(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias(again))
+    gone = stored(gone, "exact-gone")
+    rows = docs.withColumn(uid, text_uid(F.col(text_column))).withColumn(at, F.col(id_column).cast("long"))
+    met = rows.join(gone, rows[at].eqNullSafe(gone[gone_id]) & (rows[uid] == gone[gone_uid]), "left")
+    stay = met.where(F.col(again).isNull()).select(*docs.columns)
+    repeated = met.where(again).withColumn(one, F.struct(*docs.columns)).groupBy(at, uid).agg(F.first(one).alias(one))
+    return stay.unionByName(repeated.select(f"{one}.*"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .classifier import fitted, labelled_sample
-from .common import stored, texts_of
+from .common import stored, text_uid, texts_of
 from .textnet import Buckets, Net, packed, unpacked
 
 DOMAINS = ("clean", "low", "toxic")
@@ -77,7 +77,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) ->
 
 
 def posteriors(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id, n_tokens (words) and p_<domain> of every row."""
+    """doc_id, uid (see ``text_uid``), n_tokens (words) and p_<domain> of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     k = len(DOMAINS)
 
@@ -96,10 +96,10 @@ def posteriors(docs: DataFrame, model: bytes) -> DataFrame:
                     rows.append(features(ids, shapes, len(words), odds[ids], odds[shapes]))
                 found.append(net.predict(np.array(rows)))
             p = np.concatenate(found)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64()), *(pa.array(p[:, c]) for c in range(k))], names=["doc_id", "n_tokens", *(f"p_{d}" for d in DOMAINS)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(tokens, pa.int64()), *(pa.array(p[:, c]) for c in range(k))], names=["doc_id", "uid", "n_tokens", *(f"p_{d}" for d in DOMAINS)])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        predict, "doc_id long, n_tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_uid(F.col("text")).alias("uid")).mapInArrow(
+        predict, "doc_id long, uid binary, n_tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS)
     )
 
 
@@ -180,14 +180,25 @@ def fit_rates(
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float] = TARGETS, rows: int = SAMPLE_ROWS, bound: float = float("inf")) -> DataFrame:
-    """Per document: doc_id, n_tokens, p_<domain>, rate, and ``kept``: whether a draw by the id's hash is below the rate.
+    """Per document: doc_id, uid, n_tokens, p_<domain>, rate, ``copies`` and ``kept`` (there is a copy).
 
-    A draw keeps a row once at most; where only ``kept`` is used, a ``bound`` of 1 fits the rates that it can honour.
+    ``copies`` is the rate rounded up or down by a draw of the row's hash, so that it is the rate in the mean; a rate above 1
+    repeats a row. Where rows can't be repeated, a ``bound`` of 1 fits rates that a draw can honour. ``shares`` tells what
+    the drawn copies reach.
 
-    Null and empty texts have no tokens; their rate follows their posteriors. Repeated rows share rate and draw. An
-    empty table gives an empty result. Without labels all documents have equal posteriors.
+    Null and empty texts have no tokens; their rate follows their posteriors. Repeated rows, id and text alike, share rate
+    and draw. An empty table gives an empty result. Without labels all documents have equal posteriors.
     """
     members = stored(posteriors(docs, fit_domains(docs, labels, rows)), "posteriors")
     rate, _ = fit_rates(members, targets, bound=bound)
-    draw = F.pmod(F.xxhash64(F.lit("mix"), "doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    return members.withColumn("rate", rate).withColumn("kept", draw < F.col("rate"))
+    draw = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "uid"), F.lit(1 << 30)) / F.lit(1 << 30)
+    mixed = members.withColumn("rate", rate)
+    mixed = mixed.withColumn("copies", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
+    return mixed.withColumn("kept", F.col("copies") > 0)
+
+
+def shares(mixed: DataFrame, copies: str = "copies") -> dict[str, float]:
+    """Each domain's share of the expected tokens of the drawn copies (or of the rates, with ``copies="rate"``)."""
+    sums = mixed.agg(*[F.sum(F.col(copies) * F.col("n_tokens") * F.col(f"p_{d}")).alias(d) for d in DOMAINS]).first()
+    whole = sum(x or 0.0 for x in sums)
+    return {d: (sums[d] or 0.0) / whole if whole else 0.0 for d in DOMAINS}

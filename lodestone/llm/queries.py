@@ -45,7 +45,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("uid")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("uid")
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,11 @@ def test_texts_of_equal_short_hashes_stay_apart(spark):
     assert sorted(map(tuple, drop_exact_copies(docs).collect())) == sorted([(2, x), (1, y)])
     nameless = docs.where("doc_id is null")
     assert sorted(r.text for r in drop_exact_copies(nameless).collect()) == sorted([x, y])
+
+
+def test_dropping_takes_any_column_names_and_keeps_one_of_repeated_rows(spark):
+    schema = "doc_id long, text string, `_id` string, id string, uid string, again string, `one` string, gone_id string, gone_uid string, kept string, keep_id string, key string"
+    rows = [(1, "a"), (2, "a"), (3, "b"), (3, "b"), (3, "c"), (3, "c"), (4, "c"), (None, "d"), (None, "d"), (None, "e"), (None, "a"), (5, None), (6, "")]
+    found = drop_exact_copies(spark.createDataFrame([(*r, *["?"] * 10) for r in rows], schema))
+    assert found.columns == spark.createDataFrame([], schema).columns
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=repr) == sorted([(2, "a"), (3, "b"), (4, "c"), (None, "d"), (None, "e"), (6, "")], key=repr)

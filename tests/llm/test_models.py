@@ -67,6 +67,13 @@ def test_mixing_meets_targets_and_keeps_clean_documents(spark):
     shares = [(weight * rows[f"p_{d}"]).sum() / weight.sum() for d in ("clean", "low", "toxic")]
     assert np.allclose(shares, [0.9, 0.05, 0.05], atol=0.005) and (rows.rate >= 0).all()
     assert np.allclose(rows[["p_clean", "p_low", "p_toxic"]].sum(axis=1), 1)
+    # So do the copies drawn, of which rates above 1 may give two; and the whole query is the brute-force solution.
+    drawn = rows.n_tokens * rows.copies
+    assert np.allclose([(drawn * rows[f"p_{d}"]).sum() / drawn.sum() for d in ("clean", "low", "toxic")], [0.9, 0.05, 0.05], atol=0.01)
+    assert ((rows.copies - rows.rate).abs() < 1).all() and (rows.kept == (rows.copies > 0)).all()
+    p, tokens = rows[["p_clean", "p_low", "p_toxic"]].to_numpy(), rows.n_tokens.to_numpy(float)
+    wanted = np.array([0.9, 0.05, 0.05]) * (tokens @ p)[0] / 0.9
+    assert np.abs((brute_rates(p, tokens, wanted, True) * tokens) @ p - (rows.rate.to_numpy() * tokens) @ p).max() < 0.01 * wanted.sum()
     truth = table(spark, SF, "labels").toPandas().merge(rows, on="doc_id")
     clean = truth[(truth.quality == 1) & (truth.toxic == 0)]
     assert clean.kept.mean() > 0.97 and truth[truth.toxic == 1].rate.mean() < 0.8 * clean.rate.mean()
