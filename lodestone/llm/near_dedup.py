@@ -4,32 +4,35 @@ An element of weight w owns the region [0, w) of a weight axis. Unit cells of we
 darts each, all fixed by hashes of the element and the cell, so every document throws the same darts at the same element.
 Only darts up to a rank that leaves about k ln k + 2k of them are thrown; each falls to one of the k coordinates, and a
 coordinate keeps its dart of earliest rank. Two signatures agree in a coordinate with probability of the weighted Jaccard
-similarity. Coordinates are joined in bands.
+similarity. Elements are shingles, and a shingle weighs as much as it occurs. Coordinates are joined in bands.
 
-Documents alike word for word are one class from the start and only its first document is compared. What is wanted are
+Documents alike word for word are one class from the start and only the first of them is compared. What is wanted are
 the components of the similarity graph, so pairs within a class found already need no comparison. Estimates far above
-the threshold are links, those far below are none, and the others are decided on the shingle sets themselves.
+the threshold are links, those far below are none, and the others are decided on the shingles themselves.
 
 First a bucket gives a spanning forest of its members by estimated similarity, and for every cluster it is sure of the
 ``BEYOND`` likeliest links beyond. Buckets of more than ``BLOCK`` members are dealt into blocks, otherwise in every band,
 which share the bucket's first member; so members of a group of copies meet in many blocks. The links make classes. Then
-buckets that gave less than all their pairs, and whose members are still of several classes, give every pair that crosses
-two classes and isn't far below the threshold. That is the square of the members outside the bucket's largest class, and
-their product with those inside, in tiles of bounded size.
+buckets that gave less than all their pairs, and whose members are still of several classes, are gone over again, the
+members outside the bucket's largest class against each other and against those inside, in tiles of bounded size. There a
+member whose shingles are, to more than a fifth, no other member's is put aside: it can have no link. The others' pairs that
+cross two classes and aren't estimated far below the threshold are decided on their shingles at once, and only links go on,
+one for a member and a class.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import BROADCAST_ROWS
-from .common import stored, texts_of
+from .common import stored, text_uid, texts_of
 from .components import components
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -40,8 +43,8 @@ BLOCK = 256
 #: Standard errors of an estimate beyond which it decides; links beyond a sure cluster that are tried.
 SURE, BEYOND = 5.0, 4
 CACHED_WORDS = 200_000
-#: Members of a large bucket that are compared with as many others in one group; members whose shingle sets are.
-TILE, CHECKED = 2048, 1024
+#: Members of a part of a large bucket, two of which are compared as a tile, and their shingles.
+TILE, TILE_SHINGLES = 2048, 1 << 19
 
 _U = np.uint64
 
@@ -79,11 +82,19 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed(total)
 
 
-def shingles(hashes: np.ndarray, size: int = SHINGLE_WORDS) -> np.ndarray:
-    """The distinct shingles, sorted. A text of fewer words than a shingle has one, all its words."""
+def shingles(hashes: np.ndarray, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles, sorted, and how often each occurs. A text of fewer words than a shingle has one, all its words."""
     if 0 < len(hashes) < size:
-        return windows(hashes, len(hashes)) ^ _U(len(hashes))
-    return np.unique(windows(hashes, size))
+        return windows(hashes, len(hashes)) ^ _U(len(hashes)), np.ones(1, np.int64)
+    return np.unique(windows(hashes, size), return_counts=True)
+
+
+def occurrences(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A name for every occurrence, so that sets of names compare as the shingles do by weight."""
+    which = np.repeat(np.arange(len(found)), counts)
+    turn = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+    with np.errstate(over="ignore"):
+        return np.where(turn == 0, found[which], mixed(found[which] + turn.astype(_U) * _U(0xD6E8FEB86659FD93)))
 
 
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 12)]))
@@ -148,28 +159,34 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+_SIGNED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("uid", pa.binary()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+_SIGNED_DDL = "row long, doc_id long, uid binary, digest binary, bands array<long>, sketch binary"
 
 
 def signer(bands: int, rows: int, size: int):
+    """Signatures; ``row`` is a number of the row's own, so that rows of one id with different texts are kept apart."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, task = WordHashes(), TaskContext.get()
+        number = (task.partitionId() if task else 0) << 40
         for batch in batches:
             for at, texts in texts_of(batch, "text", 128):
-                digests, sets = [], []
+                uids, digests, sets = [], [], []
                 for text in texts:
                     words = text.split()
+                    uids.append(hashlib.sha256(text).digest()[:16])
                     digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
                     sets.append(shingles(known.of(words), size))
-                owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                elements = np.concatenate(sets)
-                signed = dart_minhash(elements, np.ones(len(elements)), owner, len(sets), bands * rows)
+                owner = np.repeat(np.arange(len(sets)), [len(s) for s, _ in sets])
+                elements, weights = (np.concatenate(x) for x in zip(*sets, strict=True))
+                signed = dart_minhash(elements, weights.astype(np.float64), owner, len(sets), bands * rows)
                 keys = band_keys(signed, bands, rows)
-                lists = [k.view(np.int64) if len(s) else k[:0].view(np.int64) for k, s in zip(keys, sets, strict=True)]
+                lists = [k.view(np.int64) if len(s) else k[:0].view(np.int64) for k, (s, _) in zip(keys, sets, strict=True)]
                 # Sixteen bits of a coordinate are enough to compare: they agree by chance once in 65536.
                 sketches = [row.tobytes() for row in (signed & _U(0xFFFF)).astype("<u2")]
-                columns = [pa.array(digests, pa.binary()), pa.array(lists, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *columns], schema=_SIGNED)
+                columns = [pa.array(np.arange(number, number + len(texts))), batch.column(0).slice(at, len(texts)), *(pa.array(x, pa.binary()) for x in (uids, digests))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(lists, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], schema=_SIGNED)
+                number += len(texts)
 
     return run
 
@@ -179,8 +196,8 @@ def shingler(size: int):
         known = WordHashes()
         for batch in batches:
             for at, texts in texts_of(batch, "text", 64):
-                sets = [shingles(known.of(t.split()), size).view(np.int64) for t in texts]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+                sets = [occurrences(*shingles(known.of(t.split()), size)).view(np.int64) for t in texts]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(sets, pa.list_(pa.int64()))], names=["row", "shingles"])
 
     return run
 
@@ -273,8 +290,8 @@ def _pairs(low: float, high: float):
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The ``pairs`` (a, b) whose shingle sets' Jaccard similarity reaches the threshold."""
-    of_a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    of_b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    of_a = sets.select(F.col("row").alias("a"), F.col("shingles").alias("sa"))
+    of_b = sets.select(F.col("row").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     met = both >= similarity * (F.size("sa") + F.size("sb") - both) - 1e-9
     return pairs.join(of_a, "a").join(of_b, "b").where(met).select("a", "b")
@@ -297,95 +314,82 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def _crossing(low: float):
-    """Pairs of a tile that two classes share and whose estimate is ``low`` or more; each in its first shared band."""
+class Sets:
+    """Shingle sets, by place: their sizes and how much one has in common with others."""
+
+    def __init__(self, lists: pa.ListArray):
+        self.sizes = lists.value_lengths().to_numpy()
+        _, self.names, self.seen = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        self.starts, self.mark = np.cumsum(self.sizes) - self.sizes, np.zeros(len(self.seen), bool)
+
+    def shared(self) -> np.ndarray:
+        """How many of each set's shingles another set has too."""
+        known = np.r_[0, np.cumsum(self.seen[self.names] > 1)]
+        return known[self.starts + self.sizes] - known[self.starts]
+
+    def similar(self, one: int, others: np.ndarray, similarity: float) -> np.ndarray:
+        """Which of the ``others`` reach the threshold with ``one``."""
+        met = np.zeros(len(others), bool)
+        own = self.names[self.starts[one] : self.starts[one] + self.sizes[one]]
+        self.mark[own] = True
+        for low in range(0, len(others), 256):
+            some = others[low : low + 256]
+            ends = np.cumsum(self.sizes[some])
+            places = np.arange(ends[-1]) + np.repeat(self.starts[some] - (ends - self.sizes[some]), self.sizes[some])
+            marked = np.r_[0, np.cumsum(self.mark[self.names[places]])]
+            both = marked[ends] - marked[ends - self.sizes[some]]
+            met[low : low + len(some)] = both >= similarity * (len(own) + self.sizes[some] - both) - 1e-9
+        self.mark[own] = False
+        return met
+
+
+def _crossing(low: float, similarity: float):
+    """Links of a tile between two classes, one for a member and a class; a pair is looked at in its first shared band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, ["key", "i", "j"]):
-            classes = rows["class"].to_numpy()
+            sets = Sets(rows["shingles"].combine_chunks())
+            # A similar pair has four fifths of each of the two in common.
+            able = np.flatnonzero(sets.shared() >= similarity * sets.sizes - 1e-9)
+            if len(able) < 2:
+                continue
+            classes = rows["class"].to_numpy()[able]
             order = np.argsort(classes, kind="stable")
-            classes, ids, part = classes[order], rows["member"].to_numpy()[order], rows["part"].to_numpy()[order]
+            classes, at = classes[order], able[order]
+            ids, part = rows["member"].to_numpy()[at], rows["part"].to_numpy()[at]
             key, one = rows["key"][0].as_py(), rows["i"][0].as_py() == rows["j"][0].as_py()
-            sketches = np.frombuffer(b"".join(rows["sketch"].to_pylist()), "<u2").reshape(len(ids), -1)[order]
-            bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)[order]
-            # An id of several texts may be in a bucket by another text than the one compared.
-            known = (bands == key).any(1)
-            after = np.searchsorted(classes, classes, side="right")
-            found, size = [], 0
-            for r in range(len(ids)):
-                if after[r] == len(ids):
+            table = rows.take(at)
+            sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u2").reshape(len(at), -1)
+            bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(at), -1)
+            after, found = np.searchsorted(classes, classes, side="right"), []
+            for r in range(len(at)):
+                if after[r] == len(at):
                     break
                 like = np.count_nonzero(sketches[after[r] :] == sketches[r], axis=1) / sketches.shape[1]
                 hit = after[r] + np.flatnonzero(like >= low)
                 if not one:
                     hit = hit[part[hit] != part[r]]
-                if known[r] and len(hit):
-                    first = (bands[hit] == bands[r]).argmax(1)
-                    hit = hit[(bands[hit, first] == key) | ~known[hit]]
                 if len(hit):
-                    found.append((np.minimum(ids[r], ids[hit]), np.maximum(ids[r], ids[hit])))
-                    size += len(hit)
-                if size >= 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b"])
-                    found, size = [], 0
+                    hit = hit[bands[hit, (bands[hit] == bands[r]).argmax(1)] == key]
+                if len(hit):
+                    hit = hit[sets.similar(int(at[r]), at[hit], similarity)]
+                    hit = hit[np.unique(classes[hit], return_index=True)[1]]
+                    found += [(int(ids[r]), int(ids[h])) for h in hit]
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b"])
-
-    return run
-
-
-def _checked(similarity: float):
-    """The pairs (a, b) of a tile that reach the threshold; rows without b give the shingles of a."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, ["tile"]):
-            sets, pairs = rows.filter(rows["b"].is_null()), rows.filter(rows["b"].is_valid())
-            ids, lists = sets["a"].to_numpy(), sets["shingles"].combine_chunks()
-            sizes = lists.value_lengths().to_numpy()
-            names, local = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-            starts, mark = np.cumsum(sizes) - sizes, np.zeros(len(names), bool)
-            order = np.argsort(ids)
-            a, b = (order[np.searchsorted(ids[order], pairs[c].to_numpy())] for c in "ab")
-            turn = np.argsort(a, kind="stable")
-            a, b = a[turn], b[turn]
-            cuts = [0, *(np.flatnonzero(a[1:] != a[:-1]) + 1), len(a)]
-            met = np.zeros(len(a), bool)
-            for at, end in zip(cuts[:-1], cuts[1:], strict=True):
-                own = local[starts[a[at]] : starts[a[at]] + sizes[a[at]]]
-                mark[own] = True
-                for low in range(at, end, 256):
-                    others = b[low : min(low + 256, end)]
-                    ends = np.cumsum(sizes[others])
-                    places = np.arange(ends[-1]) + np.repeat(starts[others] - (ends - sizes[others]), sizes[others])
-                    seen = np.r_[0, np.cumsum(mark[local[places]])]
-                    both = seen[ends] - seen[ends - sizes[others]]
-                    met[low : low + len(others)] = both >= similarity * (len(own) + sizes[others] - both) - 1e-9
-                mark[own] = False
-            yield pa.RecordBatch.from_arrays([pa.array(ids[a[met]]), pa.array(ids[b[met]])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
 
     return run
 
 
-def _similar_tiles(pairs: DataFrame, sets: DataFrame, members: int, similarity: float) -> DataFrame:
-    """As ``_similar``, for many pairs of few ``members``: sets are sent once a tile of pairs, not once a pair."""
-    groups = -(-members // CHECKED)
-    of_a, of_b = (F.pmod(F.xxhash64(c), F.lit(groups)) for c in "ab")
-    tiled = pairs.select((F.least(of_a, of_b) * groups + F.greatest(of_a, of_b)).alias("tile"), "a", "b")
-    needed = tiled.select("tile", "a").union(tiled.select("tile", "b")).distinct()
-    given = needed.join(sets.withColumnRenamed("doc_id", "a"), "a").select("tile", "a", F.lit(None).cast("long").alias("b"), "shingles")
-    rows = given.unionByName(tiled.withColumn("shingles", F.lit(None).cast("array<long>")))
-    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(_checked(similarity), "a long, b long")
-
+def _sets(named: DataFrame, signed: DataFrame, ends: DataFrame, size: int, name: str) -> DataFrame:
+    """(row, shingles) of the rows ``ends``. Merged, at every size: what is joined grows with the corpus."""
+    wanted = signed.select("row", "doc_id", "uid").join(ends, "row", "left_semi")
+    texts = named.withColumn("uid", text_uid(F.col("text"))).join(wanted.hint("merge"), ["doc_id", "uid"])
+    return stored(texts.groupBy("row").agg(F.min("text").alias("text")).mapInArrow(shingler(size), "row long, shingles array<long>"), name)
 
-def _rest(buckets: DataFrame, keys: DataFrame, low_ids: DataFrame, signed: DataFrame, low: float) -> DataFrame:
-    """The pairs (a, b) of the buckets ``keys`` that two classes share and whose estimate is ``low`` or more, all of them.
 
-    The members outside the bucket's largest class are compared with each other and with those inside, in tiles.
-    """
-    known = buckets.join(keys, "key").join(low_ids, F.col("member") == F.col("first"), "left").select("key", "member", F.coalesce("low", "member").alias("class"))
-    known = stored(known, "rest-buckets")
-    spans = known.groupBy("key", "class").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("top")).where("n > top.n")
-    spans = stored(spans.select("key", F.ceil((F.col("n") - F.col("top.n")) / TILE).alias("others"), F.ceil(F.col("top.n") / TILE).alias("inside"), F.col("top.class").alias("top")), "rest-keys")
+def _rest(known: DataFrame, spans: DataFrame, sets: DataFrame, signed: DataFrame, low: float, similarity: float) -> DataFrame:
+    """The links (u, v) between classes among the members ``known`` of the buckets ``spans``."""
     hashed, is_top = F.xxhash64("key", "member"), F.col("class") == F.col("top")
     parts = known.join(spans, "key").select(
         "key",
@@ -394,55 +398,66 @@ def _rest(buckets: DataFrame, keys: DataFrame, low_ids: DataFrame, signed: DataF
         F.when(is_top, F.col("others") + F.pmod(hashed, "inside")).otherwise(F.pmod(hashed, "others")).alias("part"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(is_top, F.col("others")).otherwise(F.col("others") + F.col("inside")) - 1)).alias("mate"),
     )
-    sketches = signed.where("size(bands) > 0").select(F.col("doc_id").alias("member"), "sketch", "bands").dropDuplicates(["member", "sketch"])
-    tiles = parts.join(sketches, "member").select("key", F.least("part", "mate").alias("i"), F.greatest("part", "mate").alias("j"), "member", "class", "part", "sketch", "bands")
-    return tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_crossing(low), "a long, b long").where("a <> b").distinct()
+    whole = sets.join(signed.select("row", "sketch", "bands"), "row").withColumnRenamed("row", "member")
+    tiles = parts.join(whole, "member").select("key", F.least("part", "mate").alias("i"), F.greatest("part", "mate").alias("j"), "member", "class", "part", "sketch", "bands", "shingles")
+    return tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_crossing(low, similarity), "u long, v long")
 
 
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = BAND_ROWS, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row per document: doc_id, class_id (the smallest doc_id of its class) and kept (doc_id is class_id).
-
-    Classes are the connected components of pairs whose sets of ``size``-word shingles have a Jaccard similarity of
-    ``similarity`` or more. Texts with the same words in the same order are one class, among them all empty and null
-    texts; a text shorter than a shingle is otherwise like none. Rows with a null id are classes of their own, class_id
-    null, and kept. Repeated rows get the same class each; rows of one id with different texts are compared by one of them.
-    An empty table gives an empty result.
+    """One row per document: doc_id, class_id (the smallest doc_id of its class), kept, and uid (see ``text_uid``).
+
+    Classes are the connected components of pairs whose ``size``-word shingles, each as often as it occurs, have a Jaccard
+    similarity of ``similarity`` or more. Texts with the same words in the same order are one class, among them all empty
+    and null texts; a text shorter than a shingle is otherwise like none. Of a class the row of the smallest doc_id is
+    kept; if that has several texts there, one of them. Rows with a null id are classes of their own, class_id null, and
+    kept. Repeated rows, id and text alike, get the same class and are kept or not together; rows of one id with different
+    texts are compared each. An empty table gives an empty result.
     """
-    plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     named = plain.where(F.col("doc_id").isNotNull())
-    signed = stored(named.mapInArrow(signer(bands, rows, size), "doc_id long, digest binary, bands array<long>, sketch binary"), "signatures")
-    firsts = stored(signed.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
-    keyed = signed.join(firsts, (signed["digest"] == firsts["digest"]) & (signed["doc_id"] == firsts["first"]), "left_semi").select(F.col("doc_id").alias("member"), F.explode("bands").alias("key"))
+    signed = stored(named.mapInArrow(signer(bands, rows, size), _SIGNED_DDL), "signatures")
+    firsts = signed.groupBy("digest").agg(F.min(F.struct("doc_id", "uid", "row")).alias("f"))
+    firsts = stored(firsts.select("digest", F.col("f.row").alias("first"), F.col("f.doc_id").alias("least"), F.col("f.uid").alias("least_uid")), "firsts")
+    keyed = signed.join(firsts, (signed["digest"] == firsts["digest"]) & (signed["row"] == firsts["first"]), "left_semi").select(F.col("row").alias("member"), F.explode("bands").alias("key"))
     # Written, so that the join shuffles both sides and can split a key that a third of all documents have.
     shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("member").alias("centre")).where("n > 1"), "shared")
     blocks = F.ceil(F.col("n") / BLOCK)
     buckets = stored(keyed.join(shared, "key").select("key", "member", F.pmod(F.xxhash64("key", "member"), blocks).alias("block"), blocks.alias("blocks"), "centre"), "buckets")
     centres = buckets.where("member = centre AND blocks > 1").select("key", "member", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("block").alias("own")).where("block <> own")
     dealt = buckets.select("key", "block", "member").unionByName(centres.select("key", "block", "member"))
-    sketched = dealt.join(signed.select(F.col("doc_id").alias("member"), "sketch").dropDuplicates(["member", "sketch"]), "member").select("key", "block", "member", "sketch")
+    sketched = dealt.join(signed.select(F.col("row").alias("member"), "sketch"), "member").select("key", "block", "member", "sketch")
     error = (similarity * (1 - similarity) / (bands * rows)) ** 0.5
     low, high = similarity - (SURE + 1) * error, min(1.0, similarity + SURE * error)
     found = sketched.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_pairs(low, high), "a long, b long, estimate double")
     found = stored(found.groupBy("a", "b").agg(F.max("estimate").alias("estimate")), "pairs")
     pairs = found.where("b IS NOT NULL")
     open_ = pairs.where(F.col("estimate") < high).select("a", "b")
-    ends = open_.select(F.col("a").alias("doc_id")).union(open_.select("b")).distinct()
-    # Merged, at every size: what is joined grows with the corpus.
-    sets = stored(named.join(ends.hint("merge"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(shingler(size), "doc_id long, shingles array<long>"), "shingles")
+    ends = open_.select(F.col("a").alias("row")).union(open_.select("b")).distinct()
+    sets = _sets(named, signed, ends, size, "shingles")
     links = pairs.where(F.col("estimate") >= high).select("a", "b").unionByName(_similar(open_, sets, similarity))
-    low_ids = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("u").alias("first"), F.col("v").alias("low"))
+    low_ids = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).toDF("first", "low")
     # What the blocks left out can still matter where it joins two of these classes.
     keys = shared.where(F.col("n") > BLOCK).select("key").union(found.where("b IS NULL").select("a")).distinct()
     if not keys.isEmpty():
-        rest = stored(_rest(buckets.select("key", "member"), keys, low_ids, signed, low).join(pairs, ["a", "b"], "left_anti"), "rest")
-        more = stored(rest.select(F.col("a").alias("doc_id")).union(rest.select("b")).distinct(), "rest-ends")
-        if members := more.count():
-            few = F.broadcast(more) if members <= BROADCAST_ROWS else more.hint("merge")
-            sets = stored(named.join(few, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")).mapInArrow(shingler(size), "doc_id long, shingles array<long>"), "rest-shingles")
-            found = _similar_tiles(rest, sets, members, similarity).select(F.col("a").alias("first"), F.col("b").alias("low"))
-            low_ids = components(low_ids.unionByName(found).toDF("u", "v")).toDF("first", "low")
-    classes = signed.select("doc_id", "digest").join(firsts, "digest").join(low_ids, "first", "left").select("doc_id", F.coalesce("low", "first").alias("class_id"))
-    nameless = plain.where(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id"))
-    return classes.unionByName(nameless).select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
+        known = stored(buckets.select("key", "member").join(keys, "key").join(low_ids, F.col("member") == F.col("first"), "left").select("key", "member", F.coalesce("low", "member").alias("class")), "rest-buckets")
+        several = stored(known.groupBy("key").agg(F.min("class").alias("m"), F.max("class").alias("n")).where("m < n").select("key"), "rest-several")
+        known = stored(known.join(several, "key"), "rest-members")
+        more = _sets(named, signed, known.select(F.col("member").alias("row")).distinct(), size, "rest-shingles")
+        sized = known.join(more.select(F.col("row").alias("member"), F.size("shingles").cast("long").alias("size")), "member")
+        spans = sized.groupBy("key", "class").agg(F.count("*").alias("n"), F.sum("size").alias("size")).groupBy("key").agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "size", "class")).alias("top"))
+        parts = lambda n, size: F.ceil(F.greatest(n / TILE, size / TILE_SHINGLES))
+        spans = stored(spans.select("key", parts(F.col("n") - F.col("top.n"), F.col("size") - F.col("top.size")).alias("others"), parts(F.col("top.n"), F.col("top.size")).alias("inside"), F.col("top.class").alias("top")), "rest-keys")
+        joined = _rest(known, spans, more, signed, low, similarity)
+        low_ids = components(low_ids.toDF("u", "v").unionByName(joined)).toDF("first", "low")
+    # The row to keep of classes of several texts; written, since a class may have a third of all documents.
+    linked = firsts.join(low_ids, "first")
+    roots = linked.select(F.col("low").alias("root"), "least", "least_uid").unionByName(firsts.join(low_ids.select(F.col("low").alias("first")).distinct(), "first", "left_semi").select(F.col("first").alias("root"), "least", "least_uid"))
+    heads = stored(roots.groupBy("root").agg(F.min(F.struct("least", "least_uid")).alias("head")), "heads")
+    named_classes = firsts.join(low_ids, "first", "left").withColumn("root", F.coalesce("low", "first")).join(heads, "root", "left")
+    named_classes = stored(named_classes.select("digest", F.coalesce("head.least", "least").alias("class_id"), F.coalesce("head.least_uid", "least_uid").alias("keep_uid")), "classes")
+    kept = (F.col("doc_id") == F.col("class_id")) & (F.col("uid") == F.col("keep_uid"))
+    classes = signed.select("doc_id", "digest", "uid").join(named_classes, "digest").select("doc_id", "class_id", kept.alias("kept"), "uid")
+    nameless = plain.where(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(True).alias("kept"), text_uid(F.col("text")).alias("uid"))
+    return classes.unionByName(nameless)

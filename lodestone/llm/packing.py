@@ -9,16 +9,19 @@ length.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, texts_of
+from .common import slices, stored
 
 CAPACITY = 4096
 END_ID = 1
@@ -72,55 +75,59 @@ def _apply(left: dict[int, int], pattern: Pattern) -> tuple[Pattern, int]:
     return pattern, times
 
 
-def fillings(left: dict[int, int], lengths: list[int], first: int, capacity: int, nodes: int) -> list[Pattern]:
-    """Undominated fillings around one piece of length ``first``, least waste first.
+def fillings(lengths: list[int], place: dict[int, int], counts: list[int], head: int, capacity: int, spend: Callable[[], bool]) -> Iterator[Pattern]:
+    """Undominated fillings around one piece of ``lengths[head]``, as places in the falling ``lengths``.
 
-    Depth first with the largest piece that fits; ends at the first filling without waste. A filling is dominated if
-    one of its pieces could give way to a longer piece that is left over and fits.
+    ``place`` tells where a length stands. The lexicographically largest comes first. A filling is dominated if another piece still fits, if one of its pieces
+    could give way to a longer one that is left, or if a single piece could fill the room that several share. ``spend``
+    is asked before every step and ends the enumeration.
     """
-    found: list[tuple[int, Pattern]] = []
-    budget = [nodes]
-    least = min(lengths)
-
-    def descend(pattern: list[int], room: int, at: int) -> bool:
-        budget[0] -= 1
-        if room == 0 or room < least:
-            found.append((room, tuple(pattern)))
-            return room == 0
-        if left.get(room, 0) > pattern.count(room) and room <= pattern[-1]:
-            found.append((0, (*pattern, room)))
-            return True
-        extended = False
-        for k in range(at, len(lengths)):
-            x = lengths[k]
-            if x > room or left[x] <= pattern.count(x):
-                continue
-            extended = True
-            pattern.append(x)
-            done = descend(pattern, room - x, k)
-            pattern.pop()
-            if done or budget[0] <= 0:
-                return done
-        if not extended:
-            found.append((room, tuple(pattern)))
+    picked: list[tuple[int, int]] = [(head, 1)]
+    left = lambda k: counts[k] - sum(n for j, n in picked if j == k)
+
+    def spare_between(low: int, high: int) -> bool:
+        """Is a piece left that is longer than ``low`` and no longer than ``high``?"""
+        k = bisect.bisect_left(lengths, -high, key=lambda x: -x)
+        while k < len(lengths) and lengths[k] > low:
+            if left(k):
+                return True
+            k += 1
         return False
 
-    start = next((k for k, x in enumerate(lengths) if x <= min(first, capacity - first)), len(lengths))
-    descend([first], capacity - first, start)
-    spare = lambda p, x: left.get(x, 0) > p.count(x)
-    kept = [
-        (room, p)
-        for room, p in found
-        if room == 0 or not any(spare(p, y) for x in set(p[1:]) for y in range(x + 1, x + room + 1))
-    ]
-    return [p for _, p in sorted(set(kept or found), key=lambda f: (f[0], [-x for x in f[1]]))]
-
-
-def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = 200_000, per_bin: int = 600) -> list[tuple[Pattern, int]]:
+    def descend(at: int, room: int) -> Iterator[Pattern]:
+        if not spend():
+            return
+        exact = place.get(room)
+        if exact is not None and left(exact):
+            # It dominates all else that fits here; if it is longer than the last piece, it has come before that.
+            if exact >= at:
+                yield tuple(j for j, n in [*picked, (exact, 1)] for _ in range(n))
+            return
+        fits = False
+        for k in range(max(at, bisect.bisect_left(lengths, -room, key=lambda x: -x)), len(lengths)):
+            # The pieces picked are all longer, but for the head.
+            most = min(counts[k] - (k == head), room // lengths[k])
+            fits = fits or most > 0
+            for n in range(most, 0, -1):
+                picked.append((k, n))
+                yield from descend(k + 1, room - n * lengths[k])
+                picked.pop()
+            if not spend():
+                return
+        if not fits and not spare_between(0, room) and not any(spare_between(lengths[j], lengths[j] + room) for j, _ in picked[1:]):
+            yield tuple(j for j, n in picked for _ in range(n))
+
+    return descend(head, capacity - lengths[head])
+
+
+def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = 200_000) -> list[tuple[Pattern, int]]:
     """(pattern, times) of a packing with as few sequences as found; optimal if it meets ``lower_bound``.
 
-    ``nodes`` bounds the steps of the whole search, ``per_bin`` those of one enumeration; when they are used up the
-    incumbent stands.
+    Depth first: around the largest piece left every undominated filling is tried, from as many times as the counts allow
+    down to once. Fillings of one largest length are used in their order, so that no set of sequences is tried twice. A
+    branch ends when its waste so far and the length left can't give fewer sequences than the incumbent. ``nodes`` bounds
+    the steps of the whole search; when they are used up the incumbent stands, and may not be optimal if it is above
+    ``lower_bound``. A search that ends before has proved its packing optimal.
     """
     counts = {x: n for x, n in counts.items() if n}
     if not counts:
@@ -128,34 +135,49 @@ def bin_completion(counts: dict[int, int], capacity: int = CAPACITY, nodes: int
     if min(counts) < 1 or max(counts) > capacity:
         raise ValueError("lengths must lie between 1 and the capacity")
     best = best_fit(counts, capacity)
-    size = lambda plan: sum(n for _, n in plan)
-    bound, budget = lower_bound(counts, capacity), nodes
-    total = sum(x * n for x, n in counts.items())
-    # Depth first; a frame has the counts left, the plan so far and the fillings not tried.
-    stack = [(dict(counts), [], None)]
-    while stack and budget > 0 and size(best) > bound:
-        left, plan, choices = stack.pop()
-        if choices is None:
-            lengths = sorted((x for x, n in left.items() if n), reverse=True)
-            if not lengths:
-                if size(plan) < size(best):
-                    best = plan
-                continue
-            budget -= 1
-            choices = fillings(left, lengths, lengths[0], capacity, per_bin)
-        if not choices:
+    fewest, bound = sum(n for _, n in best), lower_bound(counts, capacity)
+    lengths = sorted(counts, reverse=True)
+    place = {x: k for k, x in enumerate(lengths)}
+    left, rest = [counts[x] for x in lengths], sum(x * n for x, n in counts.items())
+    steps = itertools.repeat(True, nodes)
+    spend = lambda: next(steps, False)
+
+    def options(head: int, after: Pattern) -> Iterator[tuple[Pattern, int]]:
+        for filling in fillings(lengths, place, left, head, capacity, spend):
+            if filling > after:
+                for times in range(min(left[k] // filling.count(k) for k in set(filling)), 0, -1):
+                    yield filling, times
+
+    def use(filling: Pattern, times: int) -> None:
+        nonlocal rest
+        for k in filling:
+            left[k] -= times
+            rest -= times * lengths[k]
+
+    plan: list[tuple[Pattern, int]] = []
+    used, stack = 0, [options(0, ())]
+    while stack and fewest > bound:
+        if len(plan) == len(stack):
+            filling, times = plan.pop()
+            use(filling, -times)
+            used -= times
+        step = next(stack[-1], None) if spend() else None
+        if step is None:
+            stack.pop()
             continue
-        pattern, rest = choices[0], choices[1:]
-        if rest:
-            stack.append((left, plan, rest[:8]))
-        after = dict(left)
-        step = _apply(after, pattern)
-        longer = [*plan, step]
-        used = size(longer)
-        # Waste so far is lost for good: what is left needs its total length at least.
-        if used + -(-(total - sum(sum(p) * n for p, n in longer)) // capacity) < size(best):
-            stack.append((after, longer, None))
-        budget -= len(plan) // 64
+        plan.append(step)
+        use(*step)
+        used += step[1]
+        if used + -(-rest // capacity) >= fewest:
+            continue
+        if not rest:
+            best, fewest = [(tuple(lengths[k] for k in f), n) for f, n in plan], used
+            continue
+        head = step[0][0]
+        if left[head]:
+            stack.append(options(head, step[0]))
+        else:
+            stack.append(options(next(k for k in range(head + 1, len(lengths)) if left[k]), ()))
     return best
 
 
@@ -171,9 +193,10 @@ def public_tokenizer() -> str:
 class WordIds:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and joins nothing across it, so ids of a text are those of its words in order. Ids of
-    words are remembered, in two generations: when the young one is full it becomes the old one, and words still in use
-    are taken over from there. So frequent words stay and memory is bounded.
+    The tokenizer drops white space and joins nothing across it, so ids of a text are those of its words in order. A batch's
+    distinct words are found and their ids put in the words' places by Arrow. Ids of words are remembered, in two
+    generations: when the young one is full it becomes the old one, and words still in use are taken over from there. So
+    frequent words stay and memory is bounded.
     """
 
     def __init__(self, path: str):
@@ -183,28 +206,47 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.split()
-            ids = [*map(self.young.get, words)]
-            if None in ids:
-                self._learn({w for w, i in zip(words, ids, strict=True) if i is None})
-                ids = map(self.young.__getitem__, words)
-            yield b"".join(ids)
-            if len(self.young) > CACHED_WORDS:
-                self.young, self.old = {}, self.young
-
-    def _learn(self, words: set[bytes]) -> None:
-        fresh = []
-        for word in words:
-            known = self.old.get(word)
-            if known is None:
-                fresh.append(word)
-            else:
-                self.young[word] = known
-        plain = [w.decode("utf-8", "replace") for w in fresh]
-        for word, one in zip(fresh, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False), strict=True):
+        # A special token cuts a text before anything else looks at it, so words between two of them are encoded alone.
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        self.cut_id, self.cut = special[-1] if special else (None, "")
+
+    def encode(self, texts: pa.Array) -> Iterator[memoryview]:
+        """The ids of each text, of a batch without nulls."""
+        lists = pc.ascii_split_whitespace(texts)
+        found = lists.flatten().dictionary_encode()
+        ids = pa.array(self._ids(found.dictionary.cast(pa.binary()).to_pylist()), pa.binary())
+        placed = ids.take(found.indices)
+        ends = np.frombuffer(placed.buffers()[1], np.int32)[placed.offset : placed.offset + len(placed) + 1]
+        bounds = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        data = memoryview(placed.buffers()[2] or b"")
+        return (data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        ids = [*map(self.young.get, words)]
+        if None in ids:
+            self._learn([w for w, i in zip(words, ids, strict=True) if i is None])
+            ids = [*map(self.young.__getitem__, words)]
+        if len(self.young) > CACHED_WORDS:
+            self.young, self.old = {}, self.young
+        return ids
+
+    def _learn(self, words: list[bytes]) -> None:
+        old = self.old
+        self.young.update((w, old[w]) for w in words if w in old)
+        fresh = [w for w in words if w not in old]
+        odd = [] if self.cut else fresh
+        groups = [fresh[k : k + 256] for k in range(0, len(fresh), 256)] if self.cut else []
+        joined = [b" ".join(g).decode("utf-8", "replace").replace(" ", self.cut) for g in groups]
+        for group, one in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.asarray(one.ids, "<u4")
+            cuts = 4 * np.flatnonzero(ids == self.cut_id)
+            if len(cuts) != len(group) - 1:  # a word has the special token itself
+                odd += group
+                continue
+            data = ids.tobytes()
+            self.young.update(zip(group, [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)], strict=True)], strict=True))
+        plain = [w.decode("utf-8", "replace") for w in odd]
+        for word, one in zip(odd, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False), strict=True):
             self.young[word] = np.asarray(one.ids, "<u4").tobytes()
 
 
@@ -230,14 +272,15 @@ def cut_pieces(capacity: int, end_id: int, path: str | None, with_ids: bool):
         words = word_ids(path)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            for at, texts in texts_of(batch, "text"):
-                ids = batch.column(0).slice(at, len(texts)).to_pylist()
+            for part in slices(batch, "text"):
                 rows = []
-                for doc_id, encoded in zip(ids, words.encode(texts), strict=True):
-                    encoded += end
-                    for piece, start in enumerate(range(0, len(encoded), 4 * capacity)):
-                        part = encoded[start : start + 4 * capacity]
-                        rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part), part)[: len(schema)])
+                for doc_id, encoded in zip(part.column(0).to_pylist(), words.encode(pc.fill_null(part.column(1), "")), strict=True):
+                    size = len(encoded) // 4 + 1
+                    for piece, start in enumerate(range(0, size, capacity)):
+                        ids = encoded[4 * start : 4 * (start + capacity)]
+                        if start + capacity >= size:
+                            ids = bytes(ids) + end
+                        rows.append((doc_id, piece, start, len(ids) // 4, zlib.crc32(ids), ids)[: len(schema)])
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
     return run

@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from conftest_words import words_of
@@ -25,7 +25,8 @@ def brute(rows, size=5, threshold=0.8):
     sets, whole, inverted = [], defaultdict(list), defaultdict(list)
     for k, (i, text) in enumerate(rows):
         words = tuple(words_of(text))
-        own = {words[j : j + size] for j in range(len(words) - size + 1)} or ({words} if words else set())
+        times = Counter(words[j : j + size] for j in range(len(words) - size + 1)) or ({words: 1} if words else {})
+        own = {(s, n) for s, most in times.items() for n in range(most)}
         sets.append(own)
         if i is not None:
             whole[words].append(i)
@@ -146,7 +147,22 @@ def test_signatures_dont_depend_on_the_batch():
 
 
 def test_short_texts_have_one_shingle():
-    assert len(shingles(np.arange(3, dtype=np.uint64))) == 1 and len(shingles(np.zeros(0, np.uint64))) == 0
+    assert [len(x) for x in shingles(np.arange(3, dtype=np.uint64))] == [1, 1] and len(shingles(np.zeros(0, np.uint64))[0]) == 0
+
+
+def test_shingles_weigh_as_much_as_they_occur(spark):
+    line, rest = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(40))
+    rows = [(1, f"{line} {rest}"), (2, f"{' '.join([line] * 8)} {rest}"), (3, f"{' '.join([line] * 9)} {rest}")]
+    check(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), rows)
+    assert {i: c for i, c in brute(rows)} == {1: 1, 2: 2, 3: 2}
+
+
+def test_rows_of_one_id_are_compared_each(spark):
+    body, other = " ".join(f"a{k}" for k in range(90)), " ".join(f"b{k}" for k in range(90))
+    rows = [(1, body), (2, body + " tail"), (2, other), (3, other + " tail"), (4, other), (4, other), (1, "short"), (1, body + " end")]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id) for r in found) == [(1, 1), (1, 1), (1, 1), (2, 1), (2, 2), (3, 2), (4, 2), (4, 2)]
+    assert sum(r.kept for r in found) == 3 and {(r.doc_id, r.class_id) for r in found if r.kept} == {(1, 1), (2, 2)}
 
 
 def test_components_of_chains_and_stars(spark):

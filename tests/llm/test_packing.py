@@ -3,10 +3,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from lodestone.llm.packing import assemble, best_fit, best_fit_packing, bin_completion, lower_bound
+from lodestone.llm.packing import assemble, best_fit, best_fit_packing, bin_completion, cut_pieces, fillings, lower_bound
 from lodestone.llm.queries import op3_best_fit_packing
 
 
@@ -50,6 +51,17 @@ def test_documents_are_packed_as_tightly_as_can_be(spark, sf_dir, documents):
     assert used <= least + 1
 
 
+def test_words_with_special_tokens_and_forgotten_words(spark, monkeypatch):
+    from lodestone.llm import packing
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 20)
+    monkeypatch.setattr(packing, "_WORDS", {})
+    rows = [(k, " ".join(f"x{j} <|endoftext|>{j}<|startoftext|> \x1c{j}\u00a0y" for j in range(k, k + 15)) + "\n") for k in range(40)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [k for k, _ in rows], "text": [t for _, t in rows]})
+    out = [r for part in cut_pieces(4096, 1, None, False)(iter([batch, batch])) for r in part.to_pylist()]
+    assert sorted((tuple(r.values()) for r in out[: len(out) // 2]), key=repr) == expected(rows) and out[: len(out) // 2] == out[len(out) // 2 :]
+
+
 def test_sequences_hold_the_ids(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "d e")], "doc_id long, text string")
     packed = best_fit_packing(docs, with_ids=True)
@@ -96,6 +108,25 @@ def test_search_is_valid_and_optimal_on_small_cases(seed):
     assert lower_bound(counts, capacity) <= optimum(lengths, capacity) == size <= sum(n for _, n in best_fit(counts, capacity))
 
 
+def test_search_betters_best_fit_where_that_misses():
+    missed = 0
+    for seed in range(1500):
+        rng = random.Random(seed)
+        capacity = rng.choice([10, 20, 30, 50])
+        lengths = [rng.randint(2, capacity * 2 // 3) for _ in range(rng.randint(1, 12))]
+        counts = {x: lengths.count(x) for x in set(lengths)}
+        least = optimum(lengths, capacity)
+        missed += sum(n for _, n in best_fit(counts, capacity)) > least
+        assert sum(n for _, n in bin_completion(counts, capacity)) == least
+    assert missed > 20
+
+
+def test_fillings_of_a_full_enumeration_are_the_undominated_ones():
+    lengths, counts = [7, 5, 4, 3, 2], [1, 1, 1, 2, 1]
+    found = fillings(lengths, {x: k for k, x in enumerate(lengths)}, counts, 0, 14, lambda: True)
+    assert [[lengths[k] for k in f] for f in found] == [[7, 5, 2], [7, 4, 3]]
+
+
 def test_huge_counts_take_few_steps():
     rng = random.Random(1)
     counts = {x: rng.randint(1, 10**9) for x in range(1, 4097)}

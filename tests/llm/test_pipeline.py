@@ -81,3 +81,10 @@ def test_quality_is_decided_by_row_not_by_id(spark):
     extra = [r.asDict() | {"doc_id": i} for r in (good, bad) for i in (None, 2**40)]
     found = corpus_pipeline.quality(spark, docs.unionByName(spark.createDataFrame(extra, docs.schema)), SF)
     assert sorted((r.doc_id or 0, r.text) for r in found.where(f"doc_id is null or doc_id = {2**40}").collect()) == [(0, good.text), (2**40, good.text)]
+
+
+def test_rows_of_one_id_go_or_stay_each(spark):
+    near, far = " ".join(f"a{k}" for k in range(90)), " ".join(f"b{k}" for k in range(90))
+    rows = [(1, near), (2, near + " tail"), (2, far), (None, near), (3, "x")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, uid string, gone_id int")
+    assert sorted(((r.doc_id, r.text) for r in corpus_pipeline.near(spark, docs, SF).collect()), key=repr) == sorted([(1, near), (2, far), (None, near), (3, "x")], key=repr)
