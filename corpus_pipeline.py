@@ -2,8 +2,8 @@
 
 Every stage takes what its predecessor kept, as a table read from Parquet, and all but the last return the columns of
 ``documents``. A stage removes rows; it never changes one. Rows with null ids or texts, repeated rows and empty tables are
-treated as the stage's operator defines; rows that a class or a draw can't name (null ids)
-stay, and rows of one id share its class and draw. Quality is decided row by row.
+treated as the stage's operator defines. A row is known by its id and its text's SHA-256: rows of one id are decided each,
+rows alike in both together.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm.classifier import fit_quality, keep_good
-from lodestone.llm.common import stored, table
+from lodestone.llm.common import stored, table, text_uid, unused
 from lodestone.llm.exact_dedup import drop_exact_copies
 from lodestone.llm.mixing import mix
 from lodestone.llm.near_dedup import near_duplicates
@@ -22,12 +22,11 @@ from lodestone.llm.packing import best_fit_packing
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id isn't in ``gone``; null ids stay.
-
-    Merged, at every size: the ids grow with the corpus.
-    """
-    ids = gone.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(ids.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` whose (doc_id, uid) isn't in ``gone``. Merged, at every size: these grow with the corpus."""
+    at, uid = unused(docs.columns, "id", "uid")
+    keys = gone.select(F.col("doc_id").alias("gone_id"), F.col("uid").alias("gone_uid")).distinct()
+    rows = docs.withColumn(at, F.col("doc_id").cast("long")).withColumn(uid, text_uid(F.col("text")))
+    return rows.join(keys.hint("merge"), rows[at].eqNullSafe(keys["gone_id"]) & (rows[uid] == keys["gone_uid"]), "left_anti").select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +62,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", packing),
 ]
 
-#: The classifiers and the packing search can't be put in SQL; tests hold run() against a brute-force version.
+#: The classifiers and the packing search can't be put in SQL. Tests hold the stages against brute force (exact and near
+#: copies), held-out labels, targets and exact packings, and run() against its stages.
 ORACLE_SQL = None
 
 
