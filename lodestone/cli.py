@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import os
 from dataclasses import replace
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .config import DEFAULTS
 from .operators import crawl, devset, evaluate
+from .operators.dense import HashedEmbedder, ModelEmbedder
 from .plans import corpus as C
 from .plans import retrieval as R
 from .sources import http, readers, writers
@@ -36,9 +38,7 @@ def cmd_crawl(spark, a):
     fetched = writers.overwrite(pages, f"{a.data}/fetched")
     if a.keep_raw:
         writers.raw_pages(fetched.where("body IS NOT NULL"), f"{a.data}/raw")
-    from .functions.text import decode_html
-
-    rows = crawl.extract_pages(fetched.withColumn("html", decode_html("body", "content_type")), structured=True)
+    rows = crawl.extract_pages(crawl.decoded(fetched), structured=True)
     writers.append(rows.where("status = 'ok'").drop("status").withColumn("seq", F.col("id")), f"{a.data}/docs")
     writers.append(rows.select(F.unix_micros(F.current_timestamp()).alias("seq"), "id", "url", "status"), log_path)
 
@@ -50,15 +50,14 @@ def cmd_repair(spark, a):
         return
     writers.overwrite(crawl.garbled_docs(docs), f"{a.data}/todo")
     http.register(spark)
-    from .functions.text import decode_html
-
     pages = writers.overwrite(spark.read.format("pages_http").options(links=f"{a.data}/todo").load(), f"{a.data}/fetched")
-    fixed, failed = crawl.repair(docs, crawl.extract_pages(pages.withColumn("html", decode_html("body", "content_type")), structured=True))
+    fixed, failed = crawl.repair(docs, crawl.extract_pages(crawl.decoded(pages), structured=True))
     before, bad = docs.select("id").distinct().count(), crawl.garbled_docs(docs).select("id").distinct().count()
     written = writers.overwrite(fixed, f"{a.data}/docs_repaired")
     dropped = failed.count()
     crawl.checked_repair(before, bad - dropped, dropped, written.count())
     writers.append(failed.select(F.unix_micros(F.current_timestamp()).alias("seq"), "id", "url", "status"), f"{a.data}/crawl_log")
+    print("the old documents are in", writers.replace_table(spark, f"{a.data}/docs_repaired", f"{a.data}/docs"))
 
 
 def cmd_stats(spark, a):
@@ -75,10 +74,19 @@ def cmd_chunk(spark, a):
     chunks.agg(F.count_distinct("doc_id").alias("docs"), F.count("*").alias("chunks")).show()
 
 
-def cmd_index(spark, a):
-    from .operators.dense import HashedEmbedder
+def named(place: str):
+    """What ``module:name`` names."""
+    module, _, name = place.partition(":")
+    return getattr(importlib.import_module(module), name)
+
 
-    C.build_indexes(spark.read.parquet(f"{a.data}/chunks"), a.data, HashedEmbedder())
+def embedder_of(a):
+    """A model loaded by ``--embedder module:function``, or the hashed stand-in."""
+    return ModelEmbedder(named(a.embedder), a.query_prefix or "") if a.embedder else HashedEmbedder()
+
+
+def cmd_index(spark, a):
+    C.build_indexes(spark.read.parquet(f"{a.data}/chunks"), a.data, embedder_of(a))
 
 
 def _corpus(spark, a):
@@ -86,11 +94,9 @@ def _corpus(spark, a):
 
 
 def _options(a, queries):
-    from .operators.dense import HashedEmbedder
-
-    embedded = HashedEmbedder().encode_queries(R.expand_queries(queries)).select("query_id", "variant", "embedding")
+    embedded = embedder_of(a).encode_queries(R.expand_queries(queries)).select("query_id", "variant", "embedding")
     settings = replace(DEFAULTS, host_cap=a.host_cap or DEFAULTS.host_cap)
-    return {"mode": a.mode, "stratify": not a.no_stratify, "consensus": not a.no_consensus, "settings": settings, "embedded": embedded}
+    return {"mode": a.mode, "stratify": not a.no_stratify, "consensus": not a.no_consensus, "settings": settings, "embedded": embedded, "scores": named(a.reranker) if a.reranker and not a.no_rerank else None, "unit": a.output_unit}
 
 
 def cmd_bias(spark, a):
@@ -147,19 +153,23 @@ def parser() -> argparse.ArgumentParser:
         return p
 
     flag = {"action": "store_true"}
-    search = {"mode": {"default": "hybrid", "choices": ["bm25", "dense", "hybrid"]}, "no_stratify": flag, "no_consensus": flag, "host_cap": {"type": int}}
+    search = {"mode": {"default": "hybrid", "choices": ["bm25", "dense", "hybrid"]}, "no_stratify": flag, "no_consensus": flag, "host_cap": {"type": int}, "no_rerank": flag, "reranker": {"metavar": "MODULE:FUNCTION"}, "output_unit": {"default": "child", "choices": ["child", "parent"]}}
+    model = {"embedder": {"metavar": "MODULE:FUNCTION"}, "query_prefix": {}}
+    search |= model
     command("fetch", cmd_fetch)
     command("crawl", cmd_crawl, limit={"type": int, "default": 0}, retry_failed=flag, resume=flag, keep_raw=flag, sample_per_host={"type": int, "default": 0}, hosts={"nargs": "*"}, exclude_hosts={"nargs": "*"})
     command("repair", cmd_repair, dry_run=flag)
     command("stats", cmd_stats)
     command("cluster", cmd_cluster)
     command("chunk", cmd_chunk)
-    command("index", cmd_index)
+    command("index", cmd_index, **model)
     command("bias", cmd_bias, n={"type": int, "default": 40}, **search)
     command("dev-sample", cmd_dev_sample, n={"type": int, "default": 80}, seed={"type": int, "default": 42})
     command("dev-replace", cmd_dev_replace, target={"type": int, "default": 80}, seed={"type": int, "default": 7})
     command("label", cmd_label, port={"type": int, "default": 8001})
-    command("eval", cmd_eval, pred={"required": True}, gold={"required": True})
+    scored = command("eval", cmd_eval)
+    scored.add_argument("pred")
+    scored.add_argument("gold")
     command("submit", cmd_submit, out={"default": "submission.json"}, limit={"type": int, "default": 0}, queries={}, **search)
     return top
 

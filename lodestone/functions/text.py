@@ -26,14 +26,15 @@ RUN = r"[\p{L}\p{N}]+"
 
 
 def count_of(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern))
+    """Characters of the class ``pattern``: what a text loses without them. regexp_count makes an array of all of them."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"{pattern}+", ""))
 
 
 def detect_lang(text: Column, strata: tuple[str, str, str, str] = ("zh", "vi", "en", "other")) -> Column:
     """By shares of letters in the first 4000 characters: CJK over 0.2, then Vietnamese accents over 0.03."""
     zh, vi, en, other = strata
     head = F.substring(F.coalesce(text, F.lit("")), 1, 4000)
-    letters = count_of(head, r"\p{L}")
+    letters = F.length(F.regexp_replace(head, r"\P{L}+", ""))
     return (
         F.when(letters == 0, other)
         .when(F.try_divide(count_of(head, CJK), letters) > 0.2, zh)
@@ -142,8 +143,18 @@ def normalize_text(text: str | None) -> str:
 
 
 @F.pandas_udf(StringType())
-def normalized(texts: pd.Series) -> pd.Series:
-    return texts.map(normalize_text)
+def _normalized(texts: pd.Series) -> pd.Series:
+    return texts.map(normalize_text, na_action="ignore")
+
+
+#: Characters that stay as they are in any text of such characters only: ASCII, Latin letters with accents, unified CJK.
+STABLE = r"^[\x00-\x25\x27-\x7F\u00C0-\u0131\u0134-\u013E\u0141-\u0148\u014A-\u017E\u01A0\u01A1\u01AF\u01B0\u1EA0-\u1EF9\u3400-\u4DBF\u4E00-\u9FFF]*+$"
+
+
+def normalized(text: Column) -> Column:
+    """HTML entities resolved, then NFKC; null as empty. Only texts that this could change go through Python."""
+    plain = F.coalesce(text, F.lit(""))
+    return F.coalesce(_normalized(F.when(~plain.rlike(STABLE), plain)), plain)
 
 
 def metric_normalize(text: Column) -> Column:
@@ -183,13 +194,20 @@ def decode_html(bodies: pd.Series, content_types: pd.Series) -> pd.Series:
 
 @F.pandas_udf(StringType())
 def pdf_text(bodies: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Pages joined by blank lines. Needs pypdf on the executors."""
+    """Pages joined by blank lines; null stays null, and what can't be read is empty. Needs pypdf where there are any."""
     import io
 
-    from pypdf import PdfReader
+    def read(body: bytes) -> str:
+        from pypdf import PdfReader
+        from pypdf.errors import PyPdfError
+
+        try:
+            return "\n\n".join(p.extract_text() or "" for p in PdfReader(io.BytesIO(body)).pages)
+        except (PyPdfError, ValueError):
+            return ""
 
     for some in bodies:
-        yield some.map(lambda b: "\n\n".join(p.extract_text() or "" for p in PdfReader(io.BytesIO(b)).pages))
+        yield some.map(read, na_action="ignore")
 
 
 def lcs(a: list, b: list) -> int:

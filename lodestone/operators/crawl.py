@@ -89,9 +89,21 @@ def page_status(text: Column, status: Column) -> Column:
     )
 
 
+def decoded(fetched: DataFrame) -> DataFrame:
+    """Fetched (id, url, status, content_type, body) pages with ``html``, or for PDFs ``pdf``, the other one null."""
+    pdf = F.coalesce(T.is_pdf(F.col("url"), F.col("content_type")), F.lit(False))
+    body = F.coalesce("body", F.lit("").cast("binary"))
+    return fetched.withColumn("pdf", T.pdf_text(F.when(pdf, body))).withColumn("html", F.when(~pdf, T.decode_html(body, F.col("content_type"))))
+
+
 def extract_pages(pages: DataFrame, structured: bool = False) -> DataFrame:
-    """Pages (id, url, status, html) as documents with their final status; text and title are empty unless it is ok."""
+    """Pages (id, url, status, html) as documents with their final status; text and title are empty unless it is ok.
+
+    Where there is a column ``pdf``, its text stands for a page whose ``html`` is null.
+    """
     source = T.html_structured_text(F.col("html")) if structured else T.html_fallback_text(F.col("html"))
+    if "pdf" in pages.columns:
+        source = F.when(F.col("html").isNull(), F.coalesce("pdf", F.lit(""))).otherwise(source)
     rows = pages.withColumn("_text", T.collapse_blank_lines(source)).withColumn("status", page_status(F.col("_text"), F.col("status")))
     ok = F.col("status") == "ok"
     only = lambda c: F.when(ok, c).otherwise(F.lit(""))

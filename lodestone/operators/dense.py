@@ -55,24 +55,32 @@ def search_vectors(queries: DataFrame, vectors: DataFrame, k: int, langs: list[s
 
 
 def _best_of_tasks(rows: DataFrame, block: list, k: int, key: str, by: tuple[str, ...], schema: str) -> DataFrame:
-    ids = np.array([r["query_id"] for r in block], np.int64)
-    matrix = np.array([r["embedding"] for r in block], np.float64)
+    size = len(block[0]["embedding"]) if block else 0
+    queries = np.array([r["query_id"] for r in block], np.int64), np.array([r["embedding"] for r in block], np.float64).reshape(len(block), size)
+    shared = rows.sparkSession.sparkContext.broadcast(queries)  # at most ``BLOCK`` vectors
+
+    def best_of(part: pd.DataFrame, ids: np.ndarray, matrix: np.ndarray) -> pd.DataFrame:
+        score = np.stack(part["embedding"].to_numpy()).astype(np.float64) @ matrix.T
+        coarse = -score.round(6)
+        # All that are no worse than the k-th, ties too.
+        row, query = np.nonzero(coarse <= np.partition(coarse, k - 1, axis=0)[k - 1]) if k < len(part) else np.indices(score.shape).reshape(2, -1)
+        made = part[[*by, key]].iloc[row].reset_index(drop=True)
+        made["query_id"], made["score"], made["_r"] = ids[query], score[row, query], coarse[row, query]
+        return made
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, matrix = shared.value
         best = None
         for frame in frames:
             if not len(ids) or not len(frame):
                 continue
             for low in range(0, len(frame), 2048):
                 part = frame.iloc[low : low + 2048]
-                score = np.stack(part["embedding"].to_numpy()).astype(np.float64) @ matrix.T
-                made = part[[*by, key]].loc[part.index.repeat(len(ids))].reset_index(drop=True)
-                made["query_id"], made["score"] = np.tile(ids, len(part)), score.ravel()
-                best = made if best is None else pd.concat([best, made], ignore_index=True)
-                best["_r"] = -best["score"].round(6)
-                best = best.sort_values(["_r", key], kind="stable").groupby(["query_id", *by], sort=False).head(k).drop(columns="_r")
+                groups = [g for _, g in part.groupby([*by], sort=False)] if by else [part]
+                best = pd.concat([*([] if best is None else [best]), *(best_of(g, ids, matrix) for g in groups)], ignore_index=True)
+                best = best.sort_values(["_r", key], kind="stable").groupby(["query_id", *by], sort=False).head(k)
         if best is not None:
-            yield best
+            yield best.drop(columns="_r")
 
     return rows.select(*by, key, "embedding").mapInPandas(run, f"{schema}, query_id long, score double")
 
@@ -92,16 +100,18 @@ class HashedEmbedder:
         self.size, self.query_prefix = size, query_prefix
 
     def _of(self, text: Column) -> Column:
-        tokens = T.lexical_tokens(text)
-        hashed = F.transform(tokens, lambda t: F.xxhash64(t))
-        zero = F.array_repeat(F.lit(0.0), self.size)
+        size = self.size
 
-        def add(acc: Column, h: Column) -> Column:
-            at, sign = F.pmod(h, F.lit(self.size)), F.when(h < 0, -1.0).otherwise(1.0)
-            return F.transform(acc, lambda v, k: F.when(k == at, v + sign).otherwise(v))
+        @F.pandas_udf("array<float>")
+        def summed(hashes: pd.Series) -> pd.Series:
+            out = []
+            for own in hashes:
+                h = np.asarray(own, np.int64)
+                v = np.bincount(h % size, np.where(h < 0, -1.0, 1.0), size) if len(h) else np.zeros(size)
+                out.append((v / max(np.linalg.norm(v), 1e-12)).astype(np.float32))
+            return pd.Series(out)
 
-        raw = F.aggregate(hashed, zero, add)
-        return F.transform(F.array(raw), lambda v: F.transform(v, lambda x: (x / F.greatest(norm(v), F.lit(1e-12))).cast("float"))).getItem(0)
+        return summed(F.transform(T.lexical_tokens(T.normalized(F.coalesce(text, F.lit("")))), lambda t: F.xxhash64(t)))
 
     def encode_docs(self, rows: DataFrame, text: str = "text") -> DataFrame:
         return rows.withColumn("embedding", self._of(F.col(text)))
@@ -110,6 +120,19 @@ class HashedEmbedder:
         return rows.withColumn("embedding", self._of(F.concat(F.lit(self.query_prefix), F.col(text))))
 
 
+class ModelEmbedder:
+    """Vectors of a model: ``load()`` is called once in each worker and returns texts -> matrix."""
+
+    def __init__(self, load, query_prefix: str = ""):
+        self.load, self.query_prefix = load, query_prefix
+
+    def encode_docs(self, rows: DataFrame, text: str = "text") -> DataFrame:
+        return encode_with(rows, self.load, text)
+
+    def encode_queries(self, rows: DataFrame, text: str = "text") -> DataFrame:
+        return encode_with(rows.withColumn("_asked", F.concat(F.lit(self.query_prefix), F.col(text))), self.load, "_asked").drop("_asked")
+
+
 def encode_with(rows: DataFrame, load, text: str = "text", batch: int = 64) -> DataFrame:
     """Embeddings from a model: ``load()`` is called once in each worker and returns texts -> matrix; rows are normalised."""
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,34 +93,26 @@ def select_docs(
     ``doc_min`` none below ``threshold`` times the best. A best of 0 or less makes every share 0.
 
     Without cluster dedup this is two ranks, the caps first. With it a document skipped for its cluster uses none of its
-    host's cap and one skipped for its host doesn't mark its cluster, which is sequential: one group function over a
-    query's few candidates.
+    host's cap and one skipped for its host doesn't mark its cluster, so what is taken depends on what was: a fold over a
+    query's few candidates in order, with the documents taken so far as its state. Shares only fall along the order, so the
+    threshold needs no memory.
     """
     order = [F.desc(F.round("final", 9)), "first_rank", "doc_id"]
     best = F.max("final").over(Window.partitionBy("query_id"))
     share = F.when(F.col("_best") > 0, F.col("final") / F.col("_best")).otherwise(0.0)
     rows = docs.withColumn("_best", best).withColumn("_share", share)
     if dedupe_clusters:
-        names = ["query_id", "doc_id", "host", "cluster", "_share"]
-        ranked = rows.withColumn("_order", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
-
-        def greedy(frame: pd.DataFrame) -> pd.DataFrame:
-            out, hosts, taken = [], {}, set()
-            for row in frame.sort_values("_order").itertuples(index=False):
-                query, doc, host, cluster, part = row[:5]
-                if len(out) >= doc_max:
-                    break
-                if hosts.get(host, 0) >= host_cap or cluster in taken:
-                    continue
-                if len(out) >= doc_min and part < threshold:
-                    break
-                hosts[host] = hosts.get(host, 0) + 1
-                taken.add(cluster)
-                out.append((query, doc, len(out) + 1))
-            return pd.DataFrame(out, columns=["query_id", "doc_id", "rank"])
-
-        chosen = ranked.select(*names, "_order").groupBy("query_id").applyInPandas(greedy, "query_id long, doc_id long, rank int")
-        return docs.join(chosen, ["query_id", "doc_id"])
+        names = ("doc_id", "host", "cluster")
+        listed = rows.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct((-F.round("final", 9)).alias("_order"), "first_rank", *names, "_share"))).alias("_all"))
+
+        def taken(so_far: Column, one: Column) -> Column:
+            free = (F.size(F.filter(so_far, lambda t: t["host"] == one["host"])) < host_cap) & ~F.exists(so_far, lambda t: t["cluster"] == one["cluster"])
+            room = (F.size(so_far) < doc_min) | ((one["_share"] >= threshold) & (F.size(so_far) < doc_max))
+            return F.when(free & room, F.concat(so_far, F.array(F.struct(*[one[n].alias(n) for n in names])))).otherwise(so_far)
+
+        nothing = F.filter(F.transform("_all", lambda x: F.struct(*[x[n].alias(n) for n in names])), lambda _: F.lit(False))
+        chosen = listed.select("query_id", F.posexplode(F.aggregate("_all", nothing, taken)).alias("_place", "_one"))
+        return docs.join(chosen.select("query_id", F.col("_one.doc_id").alias("doc_id"), (F.col("_place") + 1).alias("rank")), ["query_id", "doc_id"])
     of_host = F.row_number().over(Window.partitionBy("query_id", "host").orderBy(*order))
     of_query = F.row_number().over(Window.partitionBy("query_id").orderBy(*order))
     kept = rows.withColumn("_of_host", of_host).where(F.col("_of_host") <= host_cap).withColumn("rank", of_query)

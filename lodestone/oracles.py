@@ -141,6 +141,45 @@ LABELS = """
     labelled AS (SELECT *, CASE state WHEN 'gold' THEN 'done' WHEN 'skipped' THEN 'skip' ELSE 'todo' END AS status FROM state)"""
 
 
+METRIC = r"list_filter(regexp_split_to_array(lower({0}), '\s+'), lambda x: x <> '')"
+
+
+def lcs(pairs: str) -> str:
+    """CTEs ending in lcs (k, n): the longest common subsequence of each of the ``pairs`` (k, a, b), row by row."""
+    return f"""
+    lcs_pairs AS ({pairs}),
+    folded(k, a, b, i, r) AS (
+        SELECT k, a, b, 0::BIGINT, list_transform(range(len(b) + 1), lambda x: 0::BIGINT) FROM lcs_pairs
+        UNION ALL
+        SELECT k, a, b, i + 1, list_transform(range(1, len(b) + 2), lambda j: list_max(c[1:j])) FROM (
+            SELECT k, a, b, i, list_transform(range(1, len(b) + 2), lambda j: CASE WHEN j > 1 AND b[j - 1] = a[i + 1] THEN greatest(r[j], r[j - 1] + 1) ELSE r[j] END) AS c FROM folded WHERE i < len(a))),
+    lcs AS (SELECT k, r[len(b) + 1] AS n FROM folded WHERE i = len(a))"""
+
+
+#: Submitted and gold passages, and by query the shares that match: an LCS of two fifths of the gold passage's tokens.
+PASSAGES_RATED = f"""{{0}}, {GOLD.replace("gold AS", "gold AS MATERIALIZED")},
+    sent AS (SELECT p.query_id AS id, p.doc_id, row_number() OVER (ORDER BY p.query_id, p.rank, p.place) AS pp, {METRIC.format("p.text")} AS a FROM picked AS p JOIN (SELECT DISTINCT id FROM gold) AS g ON g.id = p.query_id),
+    due AS (SELECT id, doc_id, row_number() OVER (ORDER BY id, doc_id) AS gp, {METRIC.format("passage")} AS b FROM gold),
+    mates AS (SELECT row_number() OVER () AS k, sent.id, pp, gp, a, b FROM sent JOIN due ON sent.id = due.id AND sent.doc_id = due.doc_id),
+    {lcs("SELECT k, a, b FROM mates")},
+    met AS (SELECT id, count(DISTINCT pp) AS mp, count(DISTINCT gp) AS mg FROM mates JOIN lcs USING (k) WHERE len(b) > 0 AND n / len(b) >= {DEFAULTS.chunk_match} GROUP BY id),
+    parts AS (
+        SELECT g.id, coalesce(coalesce(mp, 0) / nullif(np, 0), 0) AS chunk_p, coalesce(mg, 0) / ng AS chunk_r FROM (SELECT id, count(*) AS ng FROM due GROUP BY id) AS g
+        LEFT JOIN (SELECT id, count(*) AS np FROM sent GROUP BY id) AS s USING (id) LEFT JOIN met USING (id)),
+    chunk AS (SELECT *, coalesce(5 * chunk_p * chunk_r / nullif(4 * chunk_p + chunk_r, 0), 0) AS chunk_f2 FROM parts)"""
+
+DOCS_RATED = """
+    dg AS (SELECT id, count(DISTINCT doc_id) AS ng FROM gold GROUP BY id), dp AS (SELECT query_id AS id, count(DISTINCT doc_id) AS np FROM chosen GROUP BY query_id),
+    dm AS (SELECT gold.id, count(DISTINCT c.doc_id) AS nm FROM gold JOIN chosen AS c ON c.query_id = gold.id AND c.doc_id = gold.doc_id GROUP BY gold.id),
+    dr AS (SELECT id, coalesce(coalesce(nm, 0) / nullif(np, 0), 0) AS doc_p, coalesce(nm, 0) / ng AS doc_r FROM dg LEFT JOIN dp USING (id) LEFT JOIN dm USING (id)),
+    docs AS (SELECT *, coalesce(5 * doc_p * doc_r / nullif(4 * doc_p + doc_r, 0), 0) AS doc_f2 FROM dr)"""
+
+SAMPLED = f"""{STRATA},
+    quota AS (SELECT len_bin, narrative, round_even(count(*) * 80 / sum(count(*)) OVER (), 0) AS q FROM strata GROUP BY ALL),
+    placed AS (SELECT id, s.len_bin, s.narrative, row_number() OVER (PARTITION BY s.len_bin, s.narrative ORDER BY md5('42:' || id), id) > q AS over_quota FROM strata AS s JOIN quota AS t ON s.len_bin = t.len_bin AND s.narrative = t.narrative),
+    sampled AS (SELECT id, len_bin, narrative FROM placed ORDER BY over_quota, md5('42:' || id), id LIMIT 80)"""
+
+
 def evaluated(name: str) -> str:
     return f"round({name}, 6) AS {name}"
 
@@ -183,12 +222,14 @@ ORACLES: dict[str, str] = {
     "classify_page": rf"""WITH x AS (SELECT page_id AS id, {strip(f"regexp_replace({FALLBACK}, '\n{{3,}}', chr(10) || chr(10), 'g')")} AS t FROM pages),
         y AS (SELECT id, t, CASE WHEN length(t) < 50 THEN 'empty' WHEN {blocked} THEN 'blocked' WHEN {garbled("t")} THEN 'garbled' ELSE 'ok' END AS status FROM x)
         SELECT id, status, CASE WHEN status = 'ok' THEN {lang_of("t")} ELSE 'other' END AS lang, CASE WHEN status = 'ok' THEN length(t) ELSE 0 END AS n_chars FROM y""",
-    "garbled_per_host": f"SELECT source AS host, count(*) AS n FROM documents WHERE {garbled('text')} GROUP BY source",
+    "garbled_per_host": f"SELECT source AS host, count(*) AS n FROM (SELECT source, CASE WHEN lang = 'de' THEN repeat('\ufffd', 400) || text ELSE text END AS text FROM documents) WHERE {garbled('text')} GROUP BY source",
     "repair_overlay": "SELECT doc_id AS id, md5(text) AS text_md5 FROM documents WHERE lang <> 'de' OR source <> 'src1'",
     "simhash": f"WITH {SIGNATURES} SELECT d.doc_id, sig_high, sig_low FROM documents AS d LEFT JOIN sigs USING (doc_id)",
     "lsh_pairs": f"""WITH {SIGNATURES}
+        , firsts AS (SELECT min(doc_id) AS doc_id, sig_high, sig_low FROM sigs GROUP BY sig_high, sig_low)
         SELECT a.doc_id AS a, b.doc_id AS b, bit_count(xor(a.sig_high, b.sig_high))::BIGINT + bit_count(xor(a.sig_low, b.sig_low)) AS distance
-        FROM sigs AS a JOIN sigs AS b ON a.doc_id < b.doc_id WHERE bit_count(xor(a.sig_high, b.sig_high))::BIGINT + bit_count(xor(a.sig_low, b.sig_low)) <= 3""",
+        FROM firsts AS a JOIN firsts AS b ON a.doc_id < b.doc_id WHERE bit_count(xor(a.sig_high, b.sig_high))::BIGINT + bit_count(xor(a.sig_low, b.sig_low)) <= 3
+        UNION ALL SELECT f.doc_id, s.doc_id, 0 FROM sigs AS s JOIN firsts AS f USING (sig_high, sig_low) WHERE s.doc_id > f.doc_id""",
     "bm25_topk": f"WITH {bm25('b', doc_tokens(False), query_tokens(False), 10)} {top('b')}",
     "bm25_by_lang": f"WITH {bm25('b', doc_tokens(True, 'lang'), query_tokens(), 5)} {top('b', 'qid AS query_id, lang, cid AS doc_id')}",
     "bm25_statistics": f"SELECT lang, count(*) AS n, round(avg(greatest(len({WORDS}), 1)), 6) AS avgdl FROM documents GROUP BY lang",
@@ -229,11 +270,26 @@ ORACLES: dict[str, str] = {
         m AS (SELECT g.id, count(DISTINCT c.doc_id) AS nm FROM gold AS g JOIN chosen AS c ON c.query_id = g.id AND c.doc_id = g.doc_id GROUP BY g.id),
         r AS (SELECT id, coalesce(coalesce(nm, 0) / nullif(np, 0), 0) AS doc_p, coalesce(nm, 0) / ng AS doc_r FROM g LEFT JOIN p USING (id) LEFT JOIN m USING (id))
         SELECT id, {evaluated("doc_p")}, {evaluated("doc_r")}, round(coalesce(5 * doc_p * doc_r / nullif(4 * doc_p + doc_r, 0), 0), 6) AS doc_f2 FROM r""",
+    "chunk_prf": f"WITH RECURSIVE {PASSAGES_RATED.format(PICKED)} SELECT id, {evaluated('chunk_p')}, {evaluated('chunk_r')}, {evaluated('chunk_f2')} FROM chunk",
+    "evaluate_macro": f"""WITH RECURSIVE {PASSAGES_RATED.format(PICKED)}, {DOCS_RATED}
+        SELECT count(*) AS n_queries, {", ".join(f"round(coalesce(avg({n}), 0), 6) AS {n}" for n in ("doc_p", "doc_r", "doc_f2", "chunk_p", "chunk_r", "chunk_f2"))} FROM docs JOIN chunk USING (id)""",
+    "lcs_overlap": f"""WITH RECURSIVE m AS (SELECT item_id, {METRIC.format("text")} AS t FROM benchmark),
+        {lcs("SELECT x.item_id AS k, x.t AS a, y.t AS b FROM m AS x JOIN m AS y ON y.item_id = x.item_id + 1")}
+        SELECT k AS item_id, n AS lcs, round(coalesce(n / nullif(len(b), 0), 0), 6) AS share FROM lcs JOIN lcs_pairs USING (k)""",
+    "line_split": f"SELECT doc_id, count(*) AS n, count(*) FILTER ({strip('line')} = '') AS blank FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY doc_id",
+    "metric_tokens": rf"SELECT page_id, len(list_filter(regexp_split_to_array(lower(nfc_normalize(html)), '\s+'), lambda x: x <> '')) AS n FROM pages",
     "query_strata": f"WITH {STRATA} SELECT id, len_bin, narrative FROM strata",
-    "dev_sample": f"""WITH {STRATA},
-        quota AS (SELECT len_bin, narrative, round_even(count(*) * 80 / sum(count(*)) OVER (), 0) AS q FROM strata GROUP BY ALL),
-        placed AS (SELECT id, s.len_bin, s.narrative, row_number() OVER (PARTITION BY s.len_bin, s.narrative ORDER BY md5('42:' || id), id) > q AS over_quota FROM strata AS s JOIN quota AS t ON s.len_bin = t.len_bin AND s.narrative = t.narrative)
-        SELECT id FROM placed ORDER BY over_quota, md5('42:' || id), id LIMIT 80""",
+    "dev_sample": f"WITH {SAMPLED} SELECT id FROM sampled",
+    "dev_replacements": f"""WITH {SAMPLED},
+        skipped AS (SELECT len_bin, narrative, row_number() OVER (ORDER BY md5('7:' || id), id) - 1 AS k FROM sampled WHERE id % 3 = 0),
+        sizes AS (SELECT 80 - (SELECT count(*) FROM sampled) + count(*) AS need, count(*) AS n FROM skipped),
+        demands AS (SELECT d, ('0x' || substr(md5('7:draw:' || d), 1, 8))::BIGINT % n AS k FROM (SELECT unnest(range(need)) AS d, n FROM sizes WHERE n > 0)),
+        turns AS (SELECT d, len_bin, narrative, row_number() OVER (PARTITION BY len_bin, narrative ORDER BY d) AS turn FROM demands JOIN skipped USING (k)),
+        pool2 AS (SELECT id, len_bin, narrative, row_number() OVER (PARTITION BY len_bin, narrative ORDER BY md5('7:' || id), id) AS turn FROM strata WHERE id NOT IN (SELECT id FROM sampled)),
+        got AS (SELECT d, id FROM turns LEFT JOIN pool2 USING (len_bin, narrative, turn)),
+        others AS (SELECT id, row_number() OVER (ORDER BY md5('7:' || id), id) AS turn FROM pool2 WHERE id NOT IN (SELECT id FROM got WHERE id IS NOT NULL)),
+        rest AS (SELECT row_number() OVER (ORDER BY d) AS turn FROM got WHERE id IS NULL)
+        SELECT id FROM got WHERE id IS NOT NULL UNION ALL SELECT id FROM others JOIN rest USING (turn)""",
     "label_state": f"""WITH {LABELS} SELECT qid, CASE WHEN state IN ('gold', 'draft') THEN array_to_string(docs, ',') ELSE '' END AS docs,
         CASE WHEN state IN ('gold', 'draft') AND kind = 'click' THEN 1 ELSE 0 END::BIGINT AS chunks, state, status FROM labelled""",
     "label_progress": f"WITH {LABELS} SELECT coalesce(status, 'todo') AS status, count(*) AS n FROM customer LEFT JOIN labelled ON c_custkey = qid GROUP BY ALL",

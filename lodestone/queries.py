@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .functions.chunks import chunk_documents, sections
+from .functions.chunks import SENTENCE_END, chunk_documents, sections
 from .functions.columns import let, maybe_broadcast, strip, view
 from .operators import clean, crawl, dedup, dense, devset, evaluate, fusion, lexical, ranking
 from .plans import retrieval
@@ -57,10 +57,15 @@ def lexical_tokens(spark, d):
 
 
 def sentence_split(spark, d):
-    parts = F.filter(F.transform(F.split("text", r"(?<=[.!?。！？])\s+|\n+"), strip), lambda s: s != "")
+    parts = F.filter(F.transform(F.split("text", SENTENCE_END), strip), lambda s: s != "")
     return _docs(spark, d).select("doc_id", let(parts, lambda p: F.struct(F.size(p).cast("long").alias("n"), F.md5(F.array_join(p, "\n")).alias("sentences_md5"))).alias("p")).select("doc_id", "p.*")
 
 
+def line_split(spark, d):
+    lines = F.split("text", "\n")
+    return _docs(spark, d).select("doc_id", F.size(lines).cast("long").alias("n"), F.size(F.filter(lines, lambda x: strip(x) == "")).cast("long").alias("blank"))
+
+
 def metric_tokens(spark, d):
     return view(spark, d, "pages").select("page_id", F.size(T.metric_tokens(F.col("html"))).cast("long").alias("n"))
 
@@ -90,9 +95,15 @@ def pdf_dispatch(spark, d):
 
 
 def decode_html(spark, d):
-    """Pages encoded as GB18030 where that differs from UTF-8, and decoded again."""
-    body = F.encode("html", "UTF-8")
-    return view(spark, d, "pages").select("page_id", F.md5(T.decode_html(body, F.lit("text/html"))).alias("text_md5"))
+    """Pages as UTF-8, as GB18030 that is declared as its subset, and as GB18030 that nothing declares, decoded again."""
+
+    @F.pandas_udf("binary")
+    def encoded(texts: pd.Series, kinds: pd.Series) -> pd.Series:
+        return pd.Series([t.encode("utf-8" if k == 0 else "gb18030") for t, k in zip(texts, kinds, strict=True)])
+
+    kind = F.col("page_id") % 3
+    body, declared = encoded("html", kind), F.when(kind == 1, "text/html; charset=gb2312").otherwise("text/html")
+    return view(spark, d, "pages").select("page_id", F.md5(T.decode_html(body, declared)).alias("text_md5"))
 
 
 # ---- corpus half ------------------------------------------------------------------------------------------------
@@ -169,7 +180,9 @@ def classify_page(spark, d):
 
 
 def garbled_per_host(spark, d):
-    return crawl.garbled_per_host(_docs(spark, d).select(F.col("doc_id").alias("id"), F.concat(F.lit("http://"), "source", F.lit("/")).alias("url"), "text"))
+    """German documents begin with characters that couldn't be read."""
+    text = F.when(F.col("lang") == "de", F.concat(F.lit("\ufffd" * 400), "text")).otherwise(F.col("text"))
+    return crawl.garbled_per_host(_docs(spark, d).select(F.col("doc_id").alias("id"), F.concat(F.lit("http://"), "source", F.lit("/")).alias("url"), text.alias("text")))
 
 
 def repair_overlay(spark, d):
@@ -391,6 +404,15 @@ def doc_prf(spark, d):
     return evaluate.doc_prf(rows).select("id", *[F.round(c, 6).alias(c) for c in ("doc_p", "doc_r", "doc_f2")])
 
 
+def chunk_prf(spark, d):
+    gold = _gold(spark, d)
+    due = gold.select("id", "doc_id", F.col("passage").alias("chunk_text")).withColumn("pos", F.monotonically_increasing_id())
+    answers = _answers(spark, d).join(gold.select("id").distinct(), "id", "left_semi")
+    sent = answers.select("id", F.posexplode("relevant_chunks").alias("pos", "c")).select("id", "pos", "c.doc_id", "c.chunk_text")
+    found = evaluate.chunk_prf(gold, sent, stored(due, "due"))
+    return found.select("id", *[F.round(c, 6).alias(c) for c in ("chunk_p", "chunk_r", "chunk_f2")])
+
+
 def evaluate_macro(spark, d):
     texts = F.collect_list(F.struct(F.col("doc_id").cast("string").alias("doc_id"), F.col("passage").alias("chunk_text")))
     gold = _gold(spark, d).groupBy("id").agg(F.sort_array(F.collect_list(F.col("doc_id").cast("string"))).alias("relevant_docs"), texts.alias("relevant_chunks"))
@@ -465,7 +487,7 @@ def hybrid_answers(spark, d):
     from .config import DEFAULTS
 
     docs = _docs(spark, d).select(F.col("doc_id").alias("id"), F.concat(F.lit("http://"), "source", F.lit("/"), F.col("doc_id").cast("string")).alias("url"), "lang", F.lit("").alias("title"), "text", "source", F.col("doc_id").alias("seq"))
-    chunks = chunk_documents(docs)
+    chunks = stored(chunk_documents(docs), "chunks")
     embedder = dense.HashedEmbedder(64)
     vectors = embedder.encode_docs(chunks).select("chunk_id", "doc_id", "lang", "embedding")
     corpus = retrieval.Corpus.of(chunks, docs, spark.createDataFrame([], "doc_id long, cluster_id long"), vectors)
@@ -488,12 +510,12 @@ def corpus_health(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        detect_lang, approx_tokens, is_garbled, lexical_tokens, sentence_split, metric_tokens, url_host, narrative, html_fallback_text, html_title,
+        detect_lang, approx_tokens, is_garbled, lexical_tokens, sentence_split, line_split, metric_tokens, url_host, narrative, html_fallback_text, html_title,
         embed_text, pdf_dispatch, decode_html, query_scan, boilerplate_lines, clean_docs, first_record_per_id, last_status_per_id, crawl_summary,
         resume_todo, resume_retry, host_filter, interleave_hosts, sample_per_host, sample_links, throttle_plan, classify_page, garbled_per_host,
         repair_overlay, page_sections, chunk_windows, simhash, lsh_pairs, dup_clusters, cluster_counts, bm25_topk, bm25_by_lang, bm25_statistics,
         dense_topk, dense_topk_filtered, vector_lookup, index_mismatch, rrf_fusion, stratified_fusion, doc_scores, agreement_rescore, select_docs,
-        select_docs_dedupe, pick_chunks, submission_rows, validate_submission, diversity, bias_report, doc_prf, evaluate_macro, lcs_overlap,
+        select_docs_dedupe, pick_chunks, submission_rows, validate_submission, diversity, bias_report, doc_prf, chunk_prf, evaluate_macro, lcs_overlap,
         query_strata, dev_sample, dev_replacements, label_state, label_progress, pooled_search, hybrid_answers, doc_lookup, corpus_health,
     )
 }

@@ -24,10 +24,12 @@ PAGE = "<!doctype html><meta charset=utf-8><title>{0}</title><h1>{0}</h1><form m
 class Service:
     """The endpoints as methods. Options belong to a call, never to the service, so requests can't disturb each other."""
 
-    def __init__(self, spark: SparkSession, data: str, corpus: R.Corpus | None = None, embedder=None):
+    def __init__(self, spark: SparkSession, data: str, corpus: R.Corpus | None = None, embedder=None, reranker=None):
         self.spark, self.data = spark, data
         self.corpus = corpus or load_corpus(spark, data)
         self.embedder = embedder or HashedEmbedder()
+        # A function from (query text, embed text) columns to a score column.
+        self.reranker = reranker
         self.lock = threading.Lock()
 
     def health(self) -> dict:
@@ -35,10 +37,12 @@ class Service:
 
     def search(self, query: str, mode: str = "hybrid", rerank: bool = False, output_unit: str = "child", stratify: bool = True, consensus: bool = True, host_cap: int | None = None) -> dict:
         began = time.perf_counter()
+        if rerank and self.reranker is None:
+            raise ValueError("this service has no reranker")
         asked = self.spark.createDataFrame([(0, query)], "id long, query string")
         embedded = self.embedder.encode_queries(R.expand_queries(asked)).select("query_id", "variant", "embedding") if self.corpus.vectors is not None else None
         settings = replace(DEFAULTS, host_cap=host_cap or DEFAULTS.host_cap)
-        chosen, passages = R.retrieve(self.corpus, asked, mode, None, stratify, consensus, None, output_unit, settings, embedded=embedded)
+        chosen, passages = R.retrieve(self.corpus, asked, mode, self.reranker if rerank else None, stratify, consensus, None, output_unit, settings, embedded=embedded)
         docs = [r.asDict(True) for r in ranking.detail_view(chosen).orderBy("rank").collect()]
         texts = [r.asDict(True) for r in passages.orderBy("rank", "place").collect()]
         shown = evaluate.diversity(chosen, asked.select(F.col("id").alias("query_id"))).first().asDict(True)

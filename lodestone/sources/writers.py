@@ -6,7 +6,7 @@ import json
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,20 @@ def overwrite(rows: DataFrame, path: str, fmt: str = "parquet", by: tuple[str, .
     return rows.sparkSession.read.schema(rows.schema).format(fmt).load(path)
 
 
+def replace_table(spark: SparkSession, new: str, path: str) -> str:
+    """The table in ``new`` takes the place of the one in ``path``, which is moved beside it; returns where to.
+
+    Two renames of folders: between them the table is in neither place, never half in one.
+    """
+    jvm, before = spark.sparkContext._jvm, f"{path}_before"
+    at = lambda name: jvm.org.apache.hadoop.fs.Path(name)
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(at(before), True)
+    if not (fs.rename(at(path), at(before)) and fs.rename(at(new), at(path))):
+        raise OSError(f"{new} can't be moved to {path}")
+    return before
+
+
 def raw_pages(pages: DataFrame, path: str) -> None:
     """(id, body): the fetched bytes, as a binary column."""
     pages.select("id", "body").write.mode("append").parquet(path)

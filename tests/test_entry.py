@@ -42,8 +42,6 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["metric_tokens", "page_sections", "chunk_windows", "dup_clusters", "cluster_counts", "select_docs_dedupe", "evaluate_macro", "lcs_overlap", "dev_replacements", "hybrid_answers"])
+@pytest.mark.parametrize("name", ["page_sections", "chunk_windows", "dup_clusters", "cluster_counts", "select_docs_dedupe", "hybrid_answers"])
 def test_the_others_run(spark, name):
-    rows = entry.queries()[name](spark, SF).collect()
-    # At this size all queries are in the sample, so none is left to replace a skipped one.
-    assert bool(rows) == (name != "dev_replacements")
+    assert entry.queries()[name](spark, SF).collect()

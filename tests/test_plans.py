@@ -1,16 +1,21 @@
 import json
 import threading
+import unicodedata
 import urllib.request
 from http.server import ThreadingHTTPServer
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import lodestone.cli as cli
+from lodestone.functions import text as T
+from lodestone.operators import crawl, lexical
 from lodestone.operators.dense import HashedEmbedder
 from lodestone.operators.evaluate import validate
 from lodestone.plans import corpus, retrieval
 from lodestone.service import Service, handler
+from lodestone.sources import writers
 from lodestone.streaming import ingest
 
 TOPICS = {"en": "heart attack risk factors include smoking and high blood pressure", "vi": "đau đầu kéo dài cần đi khám bác sĩ chuyên khoa thần kinh", "zh": "糖尿病患者需要控制血糖并定期检查眼底"}
@@ -107,7 +112,7 @@ def test_every_command_is_wired():
     parser = cli.parser()
     for command in "fetch crawl repair stats cluster chunk index bias dev-sample dev-replace label submit".split():
         assert callable(parser.parse_args([command]).run)
-    assert callable(parser.parse_args(["eval", "--pred", "a", "--gold", "b"]).run)
+    assert callable(parser.parse_args(["eval", "a", "b"]).run)
 
 
 def test_commands_over_the_built_tables(spark, built, tmp_path, capsys, monkeypatch):
@@ -117,5 +122,61 @@ def test_commands_over_the_built_tables(spark, built, tmp_path, capsys, monkeypa
     for command in (["stats"], ["cluster"], ["chunk"], ["dev-sample", "--n", "3"], ["repair", "--dry-run"], ["submit", "--mode", "bm25", "--out", str(tmp_path / "s.json")], ["bias", "--n", "2", "--mode", "bm25"]):
         cli.main(["--data", built, *command])
     assert len(json.loads((tmp_path / "s.json").read_text())) == 6
-    cli.main(["--data", built, "eval", "--pred", str(tmp_path / "s.json"), "--gold", str(tmp_path / "s.json")])
+    cli.main(["--data", built, "eval", str(tmp_path / "s.json"), str(tmp_path / "s.json")])
     assert "n_queries" in capsys.readouterr().out
+
+
+def test_pdfs_take_their_own_way(spark, monkeypatch):
+    import sys
+    import types
+
+    reader = types.SimpleNamespace(PdfReader=lambda f: types.SimpleNamespace(pages=[types.SimpleNamespace(extract_text=lambda: "heart attack risk factors " * 10)]))
+    fetched = spark.createDataFrame(
+        [(1, "http://h/a.PDF?x=1", "fetched", "text/html", bytearray(b"%PDF-")), (2, "http://h/b", "fetched", "application/pdf", bytearray(b"%PDF-")), (3, "http://h/c", "fetched", None, bytearray("<p>".encode() + "đau đầu kéo dài ".encode() * 20)), (4, "http://h/d", "error", None, None)],
+        "id long, url string, status string, content_type string, body binary",
+    )
+    rows = crawl.decoded(fetched.where("id > 2")).collect()
+    assert all(r.pdf is None and r.html is not None for r in rows)
+    monkeypatch.setitem(sys.modules, "pypdf", reader)
+    monkeypatch.setitem(sys.modules, "pypdf.errors", types.SimpleNamespace(PyPdfError=RuntimeError))
+    assert next(T.pdf_text.func(iter([pd.Series([b"%PDF-", None])]))).tolist() == ["heart attack risk factors " * 10, None]
+    taken = fetched.withColumn("pdf", F.when(F.col("id") < 3, F.lit("heart attack risk factors " * 10))).withColumn("html", F.when(F.col("id") >= 3, F.decode("body", "UTF-8")))
+    found = {r.id: (r.status, r.lang, r.title) for r in crawl.extract_pages(taken, structured=True).collect()}
+    assert found == {1: ("ok", "en", ""), 2: ("ok", "en", ""), 3: ("ok", "vi", ""), 4: ("error", "other", "")}
+
+
+def test_search_and_index_normalise(spark, tmp_path):
+    chunks = spark.createDataFrame([("a", 1, "vi", unicodedata.normalize("NFD", "đau đầu") + " ＦＵＬＬ x&amp;y ﬁn", ""), ("b", 2, "vi", "khác", "")], "chunk_id string, doc_id long, lang string, text string, context string")
+    corpus.build_indexes(chunks, str(tmp_path / "i"))
+    terms = {r.term for r in spark.read.parquet(str(tmp_path / "i/lexical/postings")).collect()}
+    assert {"đau", "đầu", "full", "fin", "x", "y"} <= terms and "amp" not in terms
+    asked = lexical.tokenized(spark.createDataFrame([(1, "full đầu")], "query_id long, text string"))
+    index, stats = (spark.read.parquet(str(tmp_path / "i/lexical" / t)) for t in ("postings", "statistics"))
+    assert [r.chunk_id for r in lexical.search(asked, index, stats, 5).collect()] == ["a"]
+
+
+def longest_first(query, text):
+    return F.length(text).cast("double")
+
+
+def test_reranking_is_done_or_refused(spark, built, tmp_path, monkeypatch):
+    service = Service(spark, built, embedder=HashedEmbedder(64))
+    with pytest.raises(ValueError, match="no reranker"):
+        service.search("heart attack", mode="bm25", rerank=True)
+    service.reranker = longest_first
+    found = service.search("heart attack", mode="bm25", rerank=True)
+    assert found["docs"][0]["rel"] > 20 and service.search("heart attack", mode="bm25")["docs"][0]["rel"] < 1
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    spark.createDataFrame([(1, "heart attack")], "id long, query string").coalesce(1).write.mode("overwrite").parquet(f"{built}/query.parquet")
+    out = {}
+    for name, flags in (("on", []), ("off", ["--no-rerank"]), ("parent", ["--output-unit", "parent"])):
+        cli.main(["--data", built, "submit", "--mode", "bm25", "--reranker", f"{__name__}:longest_first", "--out", str(tmp_path / f"{name}.json"), *flags])
+        out[name] = json.loads((tmp_path / f"{name}.json").read_text())[0]
+    assert out["on"]["relevant_docs"] and out["on"]["relevant_docs"] == out["parent"]["relevant_docs"] and out["off"]["relevant_docs"]
+
+
+def test_a_table_takes_the_place_of_another(spark, tmp_path):
+    writers.overwrite(spark.range(3), str(tmp_path / "docs"))
+    writers.overwrite(spark.range(2), str(tmp_path / "new"))
+    before = writers.replace_table(spark, str(tmp_path / "new"), str(tmp_path / "docs"))
+    assert spark.read.parquet(str(tmp_path / "docs")).count() == 2 and spark.read.parquet(before).count() == 3 and not (tmp_path / "new").exists()
