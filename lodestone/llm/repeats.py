@@ -186,7 +186,9 @@ def find_repeats(docs: DataFrame, copies: DataFrame, length: int, k: int, compar
     id are not earlier than each other.
     """
     rows = stored(docs.select("doc_id", "text").mapInArrow(_anchor_rows(length, k), "anchor long, doc_id long, n int"), "anchors")
+    # Written, so that the join shuffles both sides and can split an anchor that a third of all documents have.
     twice = rows.groupBy("anchor").agg(F.sum("n").alias("n")).where("n >= 2").select("anchor", (F.col("n") > hot).alias("hot"))
+    twice = stored(twice, "anchors-twice")
     listed = rows.drop("n").join(twice, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("hot").alias("hot"))
     known = copies.groupBy("doc_id").agg(F.collect_list("uid").alias("copies"))
     candidates = docs.join(listed.join(known, "doc_id", "left"), "doc_id").select("doc_id", "text", "uid", "anchors", "hot", "copies")

@@ -30,13 +30,10 @@ def common(a: Sequence[bytes], b: Sequence[bytes]) -> int:
 
 
 def compare_sorted(segments: Iterator[Segment], length: int) -> Iterator[Repeat]:
-    rows = [*segments]
-    if len(rows) < 2:
-        return
-    # Of equal segments the first stands for all in the array; the others repeat it wholly.
+    # Of equal segments the first stands for all in the array; the others repeat it wholly and aren't held.
     first: dict[tuple[bytes, int], tuple[int, int]] = {}
     kept = []
-    for doc, uid, start, count, at, text in rows:
+    for doc, uid, start, count, at, text in segments:
         place = (doc, start)
         known = first.get((text, at))
         if known is None:
