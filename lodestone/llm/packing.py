@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -28,6 +29,11 @@ END_ID = 1
 #: Words of a generation whose ids a worker remembers.
 CACHED_WORDS = 300_000
 
+#: A tokenizer that cuts a text into letters, single digits and other characters this way. Fixed value.
+WORD_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of Latin letters alike in all normal forms, whose lower case is one letter each, and marks behind them.
+PLAIN = "^(?P<stem>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+)(?P<tail>[-.,;:!?*%&$#|<>()]*)$"
+
 Pattern = tuple[int, ...]
 
 
@@ -201,7 +207,7 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.young: dict[bytes, bytes] = {}
@@ -209,47 +215,89 @@ class WordIds:
         # A special token cuts a text before anything else looks at it, so words between two of them are encoded alone.
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
         self.cut_id, self.cut = special[-1] if special else (None, "")
+        self.light, self.ends = None, None
+        if cuts_plain_words(json.loads(self.tokenizer.to_str())):
+            # Plain words in lower case need no normalising and no patterns, only byte characters and merges.
+            self.light = Tokenizer(self.tokenizer.model)
+            parts = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            self.light.pre_tokenizer = pre_tokenizers.Sequence(parts)
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
 
     def encode(self, texts: pa.Array) -> Iterator[memoryview]:
         """The ids of each text, of a batch without nulls."""
         lists = pc.ascii_split_whitespace(texts)
         found = lists.flatten().dictionary_encode()
-        ids = pa.array(self._ids(found.dictionary.cast(pa.binary()).to_pylist()), pa.binary())
-        placed = ids.take(found.indices)
+        placed = self._ids(found.dictionary).take(found.indices)
         ends = np.frombuffer(placed.buffers()[1], np.int32)[placed.offset : placed.offset + len(placed) + 1]
         bounds = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
         data = memoryview(placed.buffers()[2] or b"")
         return (data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True))
 
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        ids = [*map(self.young.get, words)]
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """Plain words are looked up by their lower case, and what stands behind them by itself."""
+        if not self.light:
+            return self._known(words, False)
+        parts = pc.extract_regex(words, PLAIN)
+        stems, tails = pc.utf8_lower(pc.struct_field(parts, "stem")).dictionary_encode(), pc.fill_null(pc.struct_field(parts, "tail"), "").dictionary_encode()
+        rest = words.filter(pc.is_null(stems.indices))
+        out = pc.binary_join_element_wise(self._known(stems.dictionary, True).take(stems.indices), self._known(tails.dictionary, False).take(tails.indices), b"")
+        return pc.replace_with_mask(out, pc.is_null(stems.indices), self._known(rest, False))
+
+    def _known(self, words: pa.Array, plain: bool) -> pa.Array:
+        names = words.cast(pa.binary()).to_pylist()
+        ids = [*map(self.young.get, names)]
         if None in ids:
-            self._learn([w for w, i in zip(words, ids, strict=True) if i is None])
-            ids = [*map(self.young.__getitem__, words)]
+            fresh = [w for w, i in zip(names, ids, strict=True) if i is None]
+            again = {w: self.old[w] for w in fresh if w in self.old}
+            self.young |= again
+            if len(again) < len(fresh):
+                (self._encode_plain if plain else self._encode)([w for w in fresh if w not in again])
+            ids = [*map(self.young.__getitem__, names)]
         if len(self.young) > CACHED_WORDS:
             self.young, self.old = {}, self.young
-        return ids
-
-    def _learn(self, words: list[bytes]) -> None:
-        old = self.old
-        self.young.update((w, old[w]) for w in words if w in old)
-        fresh = [w for w in words if w not in old]
-        odd = [] if self.cut else fresh
-        groups = [fresh[k : k + 256] for k in range(0, len(fresh), 256)] if self.cut else []
+        return pa.array(ids, pa.binary())
+
+    def _encode_plain(self, words: list[bytes]) -> None:
+        groups = [words[k : k + 1024] for k in range(0, len(words), 1024)]
+        for group, one in zip(groups, self.light.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+            ids = np.asarray(one.ids, "<u4")
+            ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            data = ids.tobytes()
+            self.young.update(zip(group, [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+
+    def _encode(self, words: list[bytes]) -> None:
+        odd = [] if self.cut else words
+        groups = [words[k : k + 256] for k in range(0, len(words), 256)] if self.cut else []
         joined = [b" ".join(g).decode("utf-8", "replace").replace(" ", self.cut) for g in groups]
         for group, one in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.asarray(one.ids, "<u4")
             cuts = 4 * np.flatnonzero(ids == self.cut_id)
             if len(cuts) != len(group) - 1:  # a word has the special token itself
-                odd += group
+                odd = [*odd, *group]
                 continue
             data = ids.tobytes()
             self.young.update(zip(group, [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)], strict=True)], strict=True))
-        plain = [w.decode("utf-8", "replace") for w in odd]
-        for word, one in zip(odd, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False), strict=True):
+        alone = [w.decode("utf-8", "replace") for w in odd]
+        for word, one in zip(odd, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
             self.young[word] = np.asarray(one.ids, "<u4").tobytes()
 
 
+def cuts_plain_words(config: dict) -> bool:
+    """Does a tokenizer's definition treat a plain word as its lower case, one part of its own, with a mark at its end?"""
+    normal, cut, model = config.get("normalizer") or {}, config.get("pre_tokenizer") or {}, config["model"]
+    parts = cut.get("pretokenizers") or [{}]
+    return (
+        [x["type"] for x in normal.get("normalizers") or []] == ["NFC", "Replace", "Lowercase"]
+        and [x.get("type") for x in parts] == ["Split", "ByteLevel"]
+        and (parts[0]["pattern"], parts[0]["behavior"], parts[0]["invert"]) == ({"Regex": WORD_PARTS}, "Removed", True)
+        and not (parts[1]["add_prefix_space"] or parts[1]["use_regex"])
+        and (model["type"], model["dropout"], model["continuing_subword_prefix"]) == ("BPE", None, None)
+        and bool(model["end_of_word_suffix"])
+    )
+
+
 #: One for each tokenizer in a worker; workers outlive tasks.
 _WORDS: dict[str, WordIds] = {}
 

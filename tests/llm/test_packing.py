@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -62,6 +63,18 @@ def test_words_with_special_tokens_and_forgotten_words(spark, monkeypatch):
     assert sorted((tuple(r.values()) for r in out[: len(out) // 2]), key=repr) == expected(rows) and out[: len(out) // 2] == out[len(out) // 2 :]
 
 
+def test_plain_words_take_the_light_path():
+    from lodestone.llm.packing import PLAIN, WordIds
+
+    letters = [chr(c) for c in range(0x180) if re.match(PLAIN, chr(c))]
+    rng = random.Random(3)
+    words = [*letters, *("".join(rng.choices(letters, k=rng.randint(2, 12))) + rng.choice(["", ".", "!?", "-", "%%%", "<|>", "'", "'s", "1", "é\u0301", "H\u0331", "\u0130", "\u0149", "\u017f", "ς"]) for _ in range(4000))]
+    tokenizer, ids = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    assert ids.light is not None and len(letters) > 150
+    found = [np.frombuffer(x, "<u4").tolist() for x in ids.encode(pa.array(words))]
+    assert found == [x.ids for x in tokenizer.encode_batch(words, add_special_tokens=False)]
+
+
 def test_sequences_hold_the_ids(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "d e")], "doc_id long, text string")
     packed = best_fit_packing(docs, with_ids=True)
