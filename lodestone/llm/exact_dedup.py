@@ -222,8 +222,10 @@ def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: s
     # A row whose own id stays is one of several alike.
     gone = found.groupBy(F.col("doc_id").alias(gone_id), F.substring(F.unhex("text_sha256"), 1, 16).alias(gone_uid)).agg(F.max(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias(again))
     gone = stored(gone, "exact-gone")
+    # Few rows repeat another's id and text, so their own table is mostly small or empty, and the texts aren't shuffled for it.
+    alike = stored(gone.where(again).drop(again), "exact-again")
     rows = docs.withColumn(uid, text_uid(F.col(text_column))).withColumn(at, F.col(id_column).cast("long"))
-    met = rows.join(gone, rows[at].eqNullSafe(gone[gone_id]) & (rows[uid] == gone[gone_uid]), "left")
-    stay = met.where(F.col(again).isNull()).select(*docs.columns)
-    repeated = met.where(again).withColumn(one, F.struct(*docs.columns)).groupBy(at, uid).agg(F.first(one).alias(one))
+    same = lambda keys: rows[at].eqNullSafe(keys[gone_id]) & (rows[uid] == keys[gone_uid])
+    stay = rows.join(gone, same(gone), "left_anti").select(*docs.columns)
+    repeated = rows.join(alike, same(alike), "left_semi").withColumn(one, F.struct(*docs.columns)).groupBy(at, uid).agg(F.first(one).alias(one))
     return stay.unionByName(repeated.select(f"{one}.*"))
