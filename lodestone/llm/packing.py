@@ -27,7 +27,7 @@ from .common import slices, stored
 CAPACITY = 4096
 END_ID = 1
 #: Words of a generation whose ids a worker remembers.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 
 #: A tokenizer that cuts a text into letters, single digits and other characters this way. Fixed value.
 WORD_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
