@@ -1,4 +1,4 @@
-"""Commands: fetch, crawl, repair, stats, cluster, chunk, index, bias, dev-sample, dev-replace, label, eval, submit."""
+"""Commands: fetch, crawl, repair, stats, cluster, chunk, index, rebuild, bias, dev-sample, dev-replace, label, eval, submit."""
 
 from __future__ import annotations
 
@@ -89,6 +89,12 @@ def cmd_index(spark, a):
     C.build_indexes(spark.read.parquet(f"{a.data}/chunks"), a.data, embedder_of(a))
 
 
+def cmd_rebuild(spark, a):
+    """Clusters, chunks and indexes of the documents as they are now."""
+    for step in (cmd_cluster, cmd_chunk, cmd_index):
+        step(spark, a)
+
+
 def _corpus(spark, a):
     return C.load_corpus(spark, a.data)
 
@@ -163,6 +169,7 @@ def parser() -> argparse.ArgumentParser:
     command("cluster", cmd_cluster)
     command("chunk", cmd_chunk)
     command("index", cmd_index, **model)
+    command("rebuild", cmd_rebuild, **model)
     command("bias", cmd_bias, n={"type": int, "default": 40}, **search)
     command("dev-sample", cmd_dev_sample, n={"type": int, "default": 80}, seed={"type": int, "default": 42})
     command("dev-replace", cmd_dev_replace, target={"type": int, "default": 80}, seed={"type": int, "default": 7})

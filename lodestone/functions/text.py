@@ -116,6 +116,22 @@ def html_structured_text(page: Column) -> Column:
     return collapse_blank_lines(F.regexp_replace(text, r" *\n *", "\n"))
 
 
+#: Elements that hold no content of a page.
+BESIDES = "script|style|noscript|template|svg|iframe|head|nav|aside|footer|form"
+
+
+def html_main_text(page: Column) -> Column:
+    """Structured text of a page's ``main`` element, else of its articles, else of all, without navigation, asides, footers and forms."""
+    bare = F.regexp_replace(F.regexp_replace(F.coalesce(page, F.lit("")), r"(?s)<!--.*?-->", " "), rf"(?is)<({BESIDES})\b.*?</\1>", " ")
+
+    def content(whole: Column) -> Column:
+        main = F.regexp_extract(whole, r"(?is)<main\b[^>]*>(.*)</main>", 1)
+        articles = F.array_join(F.regexp_extract_all(whole, F.lit(r"(?is)<article\b[^>]*>(.*?)</article>"), F.lit(1)), "\n")
+        return F.when(main != "", main).when(articles != "", articles).otherwise(whole)
+
+    return html_structured_text(let(bare, content))
+
+
 def is_pdf(url: Column, content_type: Column) -> Column:
     path = F.split_part(F.lower(F.coalesce(url, F.lit(""))), F.lit("?"), F.lit(1))
     return F.coalesce(content_type, F.lit("")).contains("pdf") | path.endswith(".pdf")

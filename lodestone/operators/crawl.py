@@ -99,12 +99,16 @@ def decoded(fetched: DataFrame) -> DataFrame:
 def extract_pages(pages: DataFrame, structured: bool = False) -> DataFrame:
     """Pages (id, url, status, html) as documents with their final status; text and title are empty unless it is ok.
 
-    Where there is a column ``pdf``, its text stands for a page whose ``html`` is null.
+    ``structured`` takes a page's main content with its headings, or the fallback where that has under 200 characters.
+    Where there is a column ``pdf``, its text stands for a page whose ``html`` is null. ``extractor`` tells which it was.
     """
-    source = T.html_structured_text(F.col("html")) if structured else T.html_fallback_text(F.col("html"))
+    rows = pages.withColumn("_main", T.html_main_text(F.col("html")) if structured else F.lit(""))
+    way = F.when(F.length("_main") >= 200, "structured").otherwise("fallback")
+    source = F.when(F.length("_main") >= 200, F.col("_main")).otherwise(T.html_fallback_text(F.col("html")))
     if "pdf" in pages.columns:
+        way = F.when(F.col("html").isNull(), "pdf").otherwise(way)
         source = F.when(F.col("html").isNull(), F.coalesce("pdf", F.lit(""))).otherwise(source)
-    rows = pages.withColumn("_text", T.collapse_blank_lines(source)).withColumn("status", page_status(F.col("_text"), F.col("status")))
+    rows = rows.withColumn("_text", T.collapse_blank_lines(source)).withColumn("status", page_status(F.col("_text"), F.col("status")))
     ok = F.col("status") == "ok"
     only = lambda c: F.when(ok, c).otherwise(F.lit(""))
     return rows.select(
@@ -115,7 +119,7 @@ def extract_pages(pages: DataFrame, structured: bool = False) -> DataFrame:
         only(T.html_title(F.col("html"))).alias("title"),
         only(F.col("_text")).alias("text"),
         only(T.netloc(F.col("url"))).alias("source"),
-        F.when(ok, "structured" if structured else "fallback").otherwise(F.col("status")).alias("extractor"),
+        F.when(ok, way).otherwise(F.col("status")).alias("extractor"),
     )
 
 

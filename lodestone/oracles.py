@@ -33,6 +33,18 @@ def garbled(s: str) -> str:
 
 #: Pages' text: bodies of three tags, then tags, then runs of blanks.
 FALLBACK = r"regexp_replace(regexp_replace(regexp_replace(html, '(?s)<script\b.*?</script>|<style\b.*?</style>|<noscript\b.*?</noscript>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '[ \t]+', ' ', 'g')"
+
+
+def structured(page: str) -> str:
+    """Pages' text with headings as lines that begin with hashes."""
+    text = rf"regexp_replace({page}, '(?is)<script\b.*?</script>|<style\b.*?</style>|<noscript\b.*?</noscript>|<head\b.*?</head>', ' ', 'g')"
+    for level in range(1, 7):
+        text = rf"regexp_replace({text}, '(?is)<h{level}\b[^>]*>(.*?)</h{level}>', chr(10) || chr(10) || '{'#' * level} \1' || chr(10) || chr(10), 'g')"
+    text = rf"regexp_replace({text}, '(?i)</(p|div|li|tr|ul|ol|table|article|section|nav)>|<br\s*/?>', chr(10), 'g')"
+    text = rf"regexp_replace(regexp_replace({text}, '<[^>]+>', ' ', 'g'), '[ \t]+', ' ', 'g')"
+    return strip(rf"regexp_replace(regexp_replace({text}, ' *\n *', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
 HOST = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
 
 
@@ -244,6 +256,34 @@ ORACLES: dict[str, str] = {
     "stratified_fusion": f"WITH {bm25('b', doc_tokens(True, 'lang'), query_tokens(), 30)}, {fused('SELECT qid, lang AS list_name, cid, rank, 1.0::DOUBLE AS weight FROM b_k WHERE score > 0', 60)}",
     "doc_scores": f"WITH {RANKED} SELECT query_id, doc_id, round(rel, 6) AS rel, round(top_score, 6) AS top_score, best_chunk, first_rank FROM scored",
     "agreement_rescore": f"WITH {AGREED} SELECT query_id, doc_id, len(hosts) AS support, array_to_string(hosts, ',') AS hosts, round(final, 6) AS final FROM final",
+    "page_sections": rf"""WITH
+        p AS (SELECT page_id, {strip("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, string_split({structured("html")}, chr(10)) AS lines FROM pages),
+        l AS (SELECT page_id, title, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM p),
+        h AS (SELECT *, CASE WHEN regexp_matches(line, '^#{{1,6}}\s') THEN length(regexp_extract(line, '^#+')) END AS level FROM l),
+        s AS (SELECT *, count(level) OVER (PARTITION BY page_id ORDER BY pos) AS section FROM h),
+        bodies AS (SELECT page_id, title, section, {strip("string_agg(line, chr(10) ORDER BY pos)")} AS body FROM s WHERE level IS NULL GROUP BY ALL HAVING body <> ''),
+        heads AS (SELECT page_id, section, level, {strip("regexp_replace(line, '^#+', '')")} AS name FROM s WHERE level IS NOT NULL),
+        above AS (
+            SELECT b.page_id, b.section, list(a.name ORDER BY a.level) AS names FROM bodies AS b JOIN heads AS a ON a.page_id = b.page_id AND a.section <= b.section
+            WHERE NOT EXISTS (SELECT 1 FROM heads AS c WHERE c.page_id = b.page_id AND c.section > a.section AND c.section <= b.section AND c.level <= a.level) GROUP BY ALL)
+        SELECT b.page_id, (row_number() OVER (PARTITION BY b.page_id ORDER BY b.section) - 1)::INTEGER AS ordinal,
+            array_to_string(list_concat(CASE WHEN title <> '' THEN [title] ELSE [] END, coalesce(names, [])), ' > ') AS context, length(body) AS n_chars
+        FROM bodies AS b LEFT JOIN above AS a ON a.page_id = b.page_id AND a.section = b.section""",
+    "select_docs_dedupe": f"""WITH RECURSIVE {AGREED},
+        rated AS (SELECT *, doc_id % 3 AS cluster, max(final) OVER (PARTITION BY query_id) AS top_final FROM final),
+        line AS MATERIALIZED (
+            SELECT query_id, doc_id, host, cluster, CASE WHEN top_final > 0 THEN final / top_final ELSE 0 END AS share,
+                row_number() OVER (PARTITION BY query_id ORDER BY round(final, 9) DESC, first_rank, doc_id) AS pos FROM rated),
+        walk AS (
+            SELECT DISTINCT query_id, 0::BIGINT AS pos, []::BIGINT[] AS docs, []::VARCHAR[] AS hosts, []::BIGINT[] AS clusters FROM line
+            UNION ALL
+            SELECT query_id, pos, CASE WHEN take THEN list_append(docs, doc_id) ELSE docs END, CASE WHEN take THEN list_append(hosts, host) ELSE hosts END, CASE WHEN take THEN list_append(clusters, cluster) ELSE clusters END
+            FROM (
+                SELECT l.*, docs, hosts, clusters,
+                    len([h for h in hosts if h = host]) < 2 AND NOT list_contains(clusters, cluster) AND (len(docs) < 1 OR (share >= 0.55 AND len(docs) < 8)) AS take
+                FROM walk AS w JOIN line AS l ON l.query_id = w.query_id AND l.pos = w.pos + 1)),
+        ended AS (SELECT query_id, docs FROM walk QUALIFY pos = max(pos) OVER (PARTITION BY query_id))
+        SELECT query_id, unnest(docs) AS doc_id, generate_subscripts(docs, 1) AS rank FROM ended""",
     "select_docs": f"WITH {CHOSEN} SELECT query_id, doc_id, rank FROM chosen",
     "pick_chunks": f"WITH {PICKED} SELECT query_id, doc_id, place, chunk_id, md5(text) AS text_md5 FROM picked",
     "submission_rows": f"""WITH {PICKED},

@@ -47,6 +47,18 @@ def save_vectors(vectors: DataFrame, path: str) -> DataFrame:
     return overwrite(vectors.select("chunk_id", "doc_id", "embedding", "lang"), path, by=("lang",))
 
 
+def upsert_vectors(vectors: DataFrame, path: str) -> DataFrame:
+    """Vectors, one for each chunk, added to the stored ones or in the place of those of the same chunks.
+
+    The new table is written beside the old one and then takes its place, so a job that fails leaves the old one.
+    """
+    spark, new = vectors.sparkSession, vectors.select("chunk_id", "doc_id", "embedding", "lang")
+    kept = spark.read.schema(new.schema).parquet(path).join(new.select("chunk_id"), "chunk_id", "left_anti")
+    save_vectors(kept.unionByName(new), f"{path}_new")
+    replace_table(spark, f"{path}_new", path)
+    return spark.read.schema(new.schema).parquet(path)
+
+
 def _records(rows: DataFrame):
     # Answers are at most a few passages for each query; they are fetched a partition at a time.
     return (json.loads(r[0]) for r in rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator())

@@ -110,7 +110,7 @@ def test_streaming_ingest_takes_each_page_once(spark, tmp_path):
 
 def test_every_command_is_wired():
     parser = cli.parser()
-    for command in "fetch crawl repair stats cluster chunk index bias dev-sample dev-replace label submit".split():
+    for command in "fetch crawl repair stats cluster chunk index rebuild bias dev-sample dev-replace label submit".split():
         assert callable(parser.parse_args([command]).run)
     assert callable(parser.parse_args(["eval", "a", "b"]).run)
 
@@ -180,3 +180,31 @@ def test_a_table_takes_the_place_of_another(spark, tmp_path):
     writers.overwrite(spark.range(2), str(tmp_path / "new"))
     before = writers.replace_table(spark, str(tmp_path / "new"), str(tmp_path / "docs"))
     assert spark.read.parquet(str(tmp_path / "docs")).count() == 2 and spark.read.parquet(before).count() == 3 and not (tmp_path / "new").exists()
+
+
+def test_vectors_are_added_and_replaced(spark, tmp_path):
+    rows = lambda *r: spark.createDataFrame(r, "chunk_id string, doc_id long, embedding array<float>, lang string")
+    path = str(tmp_path / "vectors")
+    writers.save_vectors(rows(("a", 1, [1.0], "en"), ("b", 2, [2.0], "vi")), path)
+    found = writers.upsert_vectors(rows(("b", 2, [3.0], "en"), ("c", 3, [4.0], "10")), path)
+    assert sorted((r.chunk_id, r.embedding[0], r.lang) for r in found.collect()) == [("a", 1.0, "en"), ("b", 3.0, "en"), ("c", 4.0, "10")]
+    assert writers.upsert_vectors(rows(), path).count() == 3
+
+
+def test_short_main_text_gives_way_to_the_fallback(spark):
+    body = "heart attack risk factors " * 10
+    pages = spark.createDataFrame(
+        [(1, "u", "fetched", f"<nav>Menu</nav><main>{body}</main>"), (2, "u", "fetched", f"<main>short</main><nav>{body}</nav>"), (3, "u", "fetched", None), (4, "u", "http_404", body)],
+        "id long, url string, status string, html string",
+    )
+    found = {r.id: (r.status, r.extractor, "Menu" in r.text, len(r.text) > 200) for r in crawl.extract_pages(pages, structured=True).collect()}
+    assert found == {1: ("ok", "structured", False, True), 2: ("ok", "fallback", False, True), 3: ("empty", "empty", False, False), 4: ("http_404", "http_404", False, False)}
+
+
+def test_rebuild_makes_all_tables_anew(spark, built, tmp_path, monkeypatch):
+    import shutil
+
+    shutil.copytree(f"{built}/docs", tmp_path / "docs")
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    cli.main(["--data", str(tmp_path), "rebuild"])
+    assert corpus.load_corpus(spark, str(tmp_path)).chunks.select("doc_id").distinct().count() == 12

@@ -106,3 +106,20 @@ def test_overlap_and_f2(spark):
 def test_normalize_is_stable(text):
     once = T.normalize_text(text.replace("&", ""))
     assert unicodedata.normalize("NFKC", once) == once
+
+
+def test_main_text_leaves_what_surrounds_it(spark):
+    page = "<head><title>t</title></head><header>Site</header><nav>Menu</nav><main><h1>Head</h1><p>Body</p><!-- no --><aside>Ad</aside></main><footer>Foot</footer>"
+    assert one(spark, page, T.html_main_text) == "# Head\n\nBody"
+    assert one(spark, "<p>before</p><article><p>one</p></article><ARTICLE class=x>two</ARTICLE>", T.html_main_text) == "one\n\ntwo"
+    assert one(spark, "<p>all</p><form>field</form>", T.html_main_text) == "all"
+    assert one(spark, None, T.html_main_text) == "" and one(spark, "", T.html_main_text) == ""
+
+
+def test_functions_by_name_in_sql(spark):
+    from lodestone.functions.register import register_functions
+
+    register_functions(spark)
+    row = spark.sql("SELECT normalize_text('x&amp;y ﬁn') AS a, lcs_len(array('a', 'b', 'c'), array('b', 'c', 'd')) AS b, decode_html(cast('é' AS binary), '') AS c").first()
+    assert row == ("x&y fin", 2, "é")
+    assert spark.sql("SELECT c.text FROM VALUES ('One. Two.') AS d(t), LATERAL chunk_document(t, '') AS c").first()[0] == "One. Two."
