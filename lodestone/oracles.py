@@ -131,13 +131,49 @@ LINES = f"""
     once AS (SELECT DISTINCT doc_id, host, {strip("line")} AS line FROM every),
     sizes AS (SELECT source AS host, count(*) AS docs FROM documents GROUP BY ALL),
     boiler AS (SELECT host, line, count(*) AS n FROM once JOIN sizes USING (host) WHERE length(line) > 0 AND length(line) < 200 GROUP BY host, line, docs HAVING n >= 8 AND n >= 0.05 * docs)"""
-SIGNATURES = f"""
-    words AS (SELECT doc_id, regexp_extract_all(lower(substr(text, 1, 4000)), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
+CLEANED = f"""{LINES},
+    placed AS (SELECT doc_id, source AS host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),
+    kept AS (SELECT p.doc_id, string_agg(p.line, chr(10) ORDER BY k) AS t FROM placed AS p LEFT JOIN boiler AS b ON p.host = b.host AND {strip("p.line")} = b.line WHERE b.line IS NULL GROUP BY p.doc_id),
+    cleaned AS (SELECT doc_id, {strip("t")} AS text FROM kept WHERE {strip("t")} <> '')"""
+
+
+def signatures(docs: str) -> str:
+    return f"""
+    words AS (SELECT doc_id, regexp_extract_all(lower(substr(text, 1, 4000)), '[\\p{{L}}\\p{{N}}]+') AS w FROM {docs}),
     tok AS (SELECT doc_id, {tokens(False)} AS t FROM words),
     terms AS (SELECT doc_id, term, count(*) AS c FROM (SELECT doc_id, unnest(t) AS term FROM tok WHERE len(t) >= 60) GROUP BY ALL),
     halves AS (SELECT doc_id, c, ('0x' || substr(md5(term), 1, 8))::BIGINT AS h, ('0x' || substr(md5(term), 9, 8))::BIGINT AS l FROM terms),
     bits AS (SELECT doc_id, k, sum(CASE WHEN (h >> k) & 1 = 1 THEN c ELSE -c END) AS vh, sum(CASE WHEN (l >> k) & 1 = 1 THEN c ELSE -c END) AS vl FROM halves, range(32) AS r(k) GROUP BY ALL),
     sigs AS (SELECT doc_id, sum(CASE WHEN vh > 0 THEN 1::BIGINT << k ELSE 0 END)::BIGINT AS sig_high, sum(CASE WHEN vl > 0 THEN 1::BIGINT << k ELSE 0 END)::BIGINT AS sig_low FROM bits GROUP BY ALL)"""
+
+
+def clusters() -> str:
+    """CTEs reps (doc_id, cluster_id) and sizes_of (cluster_id, n): band after band, documents of a bucket in turn.
+
+    A document that no earlier band took joins the first one of its bucket that stands for itself and is near, or stands for
+    itself from then on.
+    """
+    ctes, before = [], None
+    for band, key in enumerate(("sig_low & 65535", "sig_low >> 16", "sig_high & 65535", "sig_high >> 16")):
+        free = f"WHERE doc_id NOT IN (SELECT doc_id FROM taken{before})" if before is not None else ""
+        held = f"SELECT doc_id, rep FROM taken{before} UNION ALL " if before is not None else ""
+        ctes.append(f"""
+    bucket{band} AS (SELECT doc_id, sig_high, sig_low, {key} AS key FROM sigs QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY doc_id) <= 500),
+    turn{band} AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id) AS pos FROM bucket{band} {free}),
+    walk{band} AS (
+        SELECT key, pos, doc_id, [{{'id': doc_id, 'h': sig_high, 'l': sig_low}}] AS heads, NULL::BIGINT AS rep FROM turn{band} WHERE pos = 1
+        UNION ALL
+        SELECT key, pos, doc_id, CASE WHEN found IS NULL THEN list_append(heads, {{'id': doc_id, 'h': sig_high, 'l': sig_low}}) ELSE heads END, found
+        FROM (
+            SELECT t.*, heads, [x.id for x in heads if bit_count(xor(x.h, sig_high))::BIGINT + bit_count(xor(x.l, sig_low)) <= 3][1] AS found
+            FROM walk{band} AS w JOIN turn{band} AS t ON t.key = w.key AND t.pos = w.pos + 1)),
+    taken{band} AS MATERIALIZED ({held}SELECT doc_id, rep FROM walk{band} WHERE rep IS NOT NULL)""")
+        before = band
+    return ",".join(ctes) + f""",
+    reps AS (SELECT s.doc_id, coalesce(rep, s.doc_id) AS cluster_id FROM sigs AS s LEFT JOIN taken{before} AS t ON t.doc_id = s.doc_id),
+    sizes_of AS (SELECT cluster_id, count(*) AS n FROM reps GROUP BY ALL HAVING n > 1)"""
+
+
 POOL = "SELECT conv_id * 1000 + turn AS id, text AS query FROM conversations WHERE role = 'user'"
 STRATA = rf"""
     pool AS ({POOL}),
@@ -217,10 +253,7 @@ ORACLES: dict[str, str] = {
     "decode_html": "SELECT page_id, md5(html) AS text_md5 FROM pages",
     "query_scan": "SELECT item_id AS id, length(text) AS n_chars FROM benchmark",
     "boilerplate_lines": f"WITH {LINES} SELECT host, line, n FROM boiler",
-    "clean_docs": f"""WITH {LINES},
-        placed AS (SELECT doc_id, source AS host, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),
-        kept AS (SELECT p.doc_id, string_agg(p.line, chr(10) ORDER BY k) AS t FROM placed AS p LEFT JOIN boiler AS b ON p.host = b.host AND {strip("p.line")} = b.line WHERE b.line IS NULL GROUP BY p.doc_id)
-        SELECT doc_id, length({strip("t")}) AS n_chars, md5({strip("t")}) AS text_md5 FROM kept WHERE {strip("t")} <> ''""",
+    "clean_docs": f"WITH {CLEANED} SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM cleaned",
     "first_record_per_id": "SELECT user_id AS id, min(event_id) AS seq, arg_min(event_type, event_id) AS status FROM events GROUP BY user_id",
     "last_status_per_id": "SELECT user_id AS id, arg_max(event_type, event_id) AS status FROM events GROUP BY user_id",
     "crawl_summary": "SELECT status, count(*) AS n FROM (SELECT arg_max(event_type, event_id) AS status FROM events GROUP BY user_id) GROUP BY status",
@@ -236,12 +269,15 @@ ORACLES: dict[str, str] = {
         SELECT id, status, CASE WHEN status = 'ok' THEN {lang_of("t")} ELSE 'other' END AS lang, CASE WHEN status = 'ok' THEN length(t) ELSE 0 END AS n_chars FROM y""",
     "garbled_per_host": f"SELECT source AS host, count(*) AS n FROM (SELECT source, CASE WHEN lang = 'de' THEN repeat('\ufffd', 400) || text ELSE text END AS text FROM documents) WHERE {garbled('text')} GROUP BY source",
     "repair_overlay": "SELECT doc_id AS id, md5(text) AS text_md5 FROM documents WHERE lang <> 'de' OR source <> 'src1'",
-    "simhash": f"WITH {SIGNATURES} SELECT d.doc_id, sig_high, sig_low FROM documents AS d LEFT JOIN sigs USING (doc_id)",
-    "lsh_pairs": f"""WITH {SIGNATURES}
+    "simhash": f"WITH {signatures('documents')} SELECT d.doc_id, sig_high, sig_low FROM documents AS d LEFT JOIN sigs USING (doc_id)",
+    "lsh_pairs": f"""WITH {signatures('documents')}
         , firsts AS (SELECT min(doc_id) AS doc_id, sig_high, sig_low FROM sigs GROUP BY sig_high, sig_low)
         SELECT a.doc_id AS a, b.doc_id AS b, bit_count(xor(a.sig_high, b.sig_high))::BIGINT + bit_count(xor(a.sig_low, b.sig_low)) AS distance
         FROM firsts AS a JOIN firsts AS b ON a.doc_id < b.doc_id WHERE bit_count(xor(a.sig_high, b.sig_high))::BIGINT + bit_count(xor(a.sig_low, b.sig_low)) <= 3
         UNION ALL SELECT f.doc_id, s.doc_id, 0 FROM sigs AS s JOIN firsts AS f USING (sig_high, sig_low) WHERE s.doc_id > f.doc_id""",
+    "dup_clusters": f"WITH RECURSIVE {CLEANED}, {signatures('cleaned')}, {clusters()} SELECT doc_id, cluster_id FROM reps WHERE cluster_id IN (SELECT cluster_id FROM sizes_of)",
+    "cluster_counts": f"""WITH RECURSIVE {CLEANED}, {signatures('cleaned')}, {clusters()}
+        SELECT (SELECT count(*) FROM cleaned) AS docs, coalesce(sum(n), 0)::BIGINT AS docs_in_clusters, count(*) AS clusters FROM sizes_of""",
     "bm25_topk": f"WITH {bm25('b', doc_tokens(False), query_tokens(False), 10)} {top('b')}",
     "bm25_by_lang": f"WITH {bm25('b', doc_tokens(True, 'lang'), query_tokens(), 5)} {top('b', 'qid AS query_id, lang, cid AS doc_id')}",
     "bm25_statistics": f"SELECT lang, count(*) AS n, round(avg(greatest(len({WORDS}), 1)), 6) AS avgdl FROM documents GROUP BY lang",

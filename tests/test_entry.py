@@ -42,6 +42,6 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["chunk_windows", "dup_clusters", "cluster_counts", "hybrid_answers"])
+@pytest.mark.parametrize("name", ["chunk_windows", "hybrid_answers"])
 def test_the_others_run(spark, name):
     assert entry.queries()[name](spark, SF).collect()
