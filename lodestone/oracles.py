@@ -101,17 +101,20 @@ RANKED = f"""{PASSAGES}, {bm25("b", line_tokens(), query_tokens(), 60)},
             max(CASE WHEN place = 1 THEN score END) AS top_score, max(CASE WHEN place = 1 THEN chunk_id END) AS best_chunk, min(rank) AS first_rank
         FROM ranked GROUP BY ALL)"""
 
-AGREED = f"""{RANKED},
+
+def agreed(cluster: str = "doc_id") -> str:
+    return f"""{RANKED},
     with_meta AS (
-        SELECT s.*, d.source AS host, d.lang, e.embedding::DOUBLE[] AS v, max(rel) OVER (PARTITION BY query_id) AS best
+        SELECT s.*, {cluster} AS cluster, d.source AS host, d.lang, e.embedding::DOUBLE[] AS v, max(rel) OVER (PARTITION BY query_id) AS best
         FROM scored AS s JOIN documents AS d USING (doc_id) JOIN embeddings AS e ON e.vec_id = s.doc_id % (SELECT count(*) FROM embeddings)),
     pairs AS (
-        SELECT a.query_id, a.doc_id, b.host FROM with_meta AS a JOIN with_meta AS b ON a.query_id = b.query_id AND a.doc_id <> b.doc_id AND a.host <> b.host
+        SELECT a.query_id, a.doc_id, b.host FROM with_meta AS a JOIN with_meta AS b ON a.query_id = b.query_id AND a.doc_id <> b.doc_id AND a.cluster <> b.cluster AND a.host <> b.host
         WHERE b.rel >= 0.3 * b.best AND list_inner_product(a.v, b.v) / ((sqrt(list_inner_product(a.v, a.v)) + 1e-9) * (sqrt(list_inner_product(b.v, b.v)) + 1e-9)) >= 0.2),
     support AS (SELECT query_id, doc_id, list_sort(list(DISTINCT host)) AS hosts FROM pairs GROUP BY ALL),
     final AS (SELECT w.*, coalesce(hosts, []) AS hosts, rel * (1 + 0.3 * ln(1 + len(coalesce(hosts, [])))) AS final FROM with_meta AS w LEFT JOIN support USING (query_id, doc_id))"""
 
-CHOSEN = f"""{AGREED},
+
+CHOSEN = f"""{agreed()},
     capped AS (
         SELECT *, row_number() OVER (PARTITION BY query_id, host ORDER BY round(final, 9) DESC, first_rank, doc_id) AS of_host, max(final) OVER (PARTITION BY query_id) AS best_final FROM final),
     chosen AS (
@@ -291,7 +294,7 @@ ORACLES: dict[str, str] = {
         {fused("SELECT qid, 'o' AS list_name, cid, rank, 2.0::DOUBLE AS weight FROM a_k WHERE score > 0 UNION ALL SELECT qid, 'w', cid, rank, 1.0 FROM b_k WHERE score > 0", 20)}""",
     "stratified_fusion": f"WITH {bm25('b', doc_tokens(True, 'lang'), query_tokens(), 30)}, {fused('SELECT qid, lang AS list_name, cid, rank, 1.0::DOUBLE AS weight FROM b_k WHERE score > 0', 60)}",
     "doc_scores": f"WITH {RANKED} SELECT query_id, doc_id, round(rel, 6) AS rel, round(top_score, 6) AS top_score, best_chunk, first_rank FROM scored",
-    "agreement_rescore": f"WITH {AGREED} SELECT query_id, doc_id, len(hosts) AS support, array_to_string(hosts, ',') AS hosts, round(final, 6) AS final FROM final",
+    "agreement_rescore": f"WITH {agreed()} SELECT query_id, doc_id, len(hosts) AS support, array_to_string(hosts, ',') AS hosts, round(final, 6) AS final FROM final",
     "page_sections": rf"""WITH
         p AS (SELECT page_id, {strip("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, string_split({structured("html")}, chr(10)) AS lines FROM pages),
         l AS (SELECT page_id, title, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM p),
@@ -305,8 +308,8 @@ ORACLES: dict[str, str] = {
         SELECT b.page_id, (row_number() OVER (PARTITION BY b.page_id ORDER BY b.section) - 1)::INTEGER AS ordinal,
             array_to_string(list_concat(CASE WHEN title <> '' THEN [title] ELSE [] END, coalesce(names, [])), ' > ') AS context, length(body) AS n_chars
         FROM bodies AS b LEFT JOIN above AS a ON a.page_id = b.page_id AND a.section = b.section""",
-    "select_docs_dedupe": f"""WITH RECURSIVE {AGREED},
-        rated AS (SELECT *, doc_id % 3 AS cluster, max(final) OVER (PARTITION BY query_id) AS top_final FROM final),
+    "select_docs_dedupe": f"""WITH RECURSIVE {agreed("CASE WHEN doc_id % 2 = 0 THEN doc_id % 6 ELSE doc_id END")},
+        rated AS (SELECT *, max(final) OVER (PARTITION BY query_id) AS top_final FROM final),
         line AS MATERIALIZED (
             SELECT query_id, doc_id, host, cluster, CASE WHEN top_final > 0 THEN final / top_final ELSE 0 END AS share,
                 row_number() OVER (PARTITION BY query_id ORDER BY round(final, 9) DESC, first_rank, doc_id) AS pos FROM rated),

@@ -326,11 +326,11 @@ def _ranked(spark, d):
     return stored(ranking.chunk_ranks(ranking.rerank(ranking.with_chunks(fused, passages))), "ranked")
 
 
-def _documents(spark, d, ranked=None):
+def _documents(spark, d, ranked=None, clusters=None):
     """Scored documents with metadata and, for consensus, the vector whose id is the document's modulo the vectors."""
     meta = _docs(spark, d).select(F.col("doc_id").alias("id"), F.col("source").alias("host"), "lang")
     none = spark.createDataFrame([], "doc_id long, cluster_id long")
-    docs = ranking.with_metadata(ranking.doc_scores(_ranked(spark, d) if ranked is None else ranked), meta, none)
+    docs = ranking.with_metadata(ranking.doc_scores(_ranked(spark, d) if ranked is None else ranked), meta, none if clusters is None else clusters)
     vectors = view(spark, d, "embeddings")
     n = vectors.agg(F.count("*").alias("n"))
     at = docs.crossJoin(F.broadcast(n)).withColumn("vec_id", F.col("doc_id") % F.col("n"))
@@ -347,8 +347,9 @@ def agreement_rescore(spark, d):
 
 
 def _chosen(spark, d, dedupe=False, ranked=None):
-    docs = _documents(spark, d, ranked)
-    docs = docs.withColumn("cluster", F.col("doc_id") % 3) if dedupe else docs
+    # Every other document is in one of three clusters, the rest in none.
+    clusters = _docs(spark, d).where("doc_id % 2 = 0").select("doc_id", (F.col("doc_id") % 6).alias("cluster_id")) if dedupe else None
+    docs = _documents(spark, d, ranked, clusters)
     return stored(ranking.select_docs(docs, dedupe_clusters=dedupe).drop("embedding"), "chosen")
 
 
