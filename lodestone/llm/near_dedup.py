@@ -12,8 +12,10 @@ the threshold are links, those far below are none, and the others are decided on
 
 First a bucket gives a spanning forest of its members by estimated similarity, and for every cluster it is sure of the
 ``BEYOND`` likeliest links beyond. Buckets of more than ``BLOCK`` members are dealt into blocks, otherwise in every band,
-which share the bucket's first member; so members of a group of copies meet in many blocks. The links make classes. Then
-buckets that gave less than all their pairs, and whose members are still of several classes, are gone over again, the
+which share the bucket's first member; so members of a group of copies meet in many blocks. The buckets of the first
+``EARLY`` bands come first and their links make classes; a bucket of the other bands gives only pairs that cross two of
+these, or every band would give a group's links anew. Then buckets that gave less than all their pairs, and whose members
+are still of several classes, are gone over again, the
 members outside the bucket's largest class against each other and against those inside, in tiles of bounded size. There a
 member whose shingles are, to more than a fifth, no other member's is put aside: it can have no link. The others' pairs that
 cross two classes and aren't estimated far below the threshold are decided on their shingles at once, and only links go on,
@@ -38,6 +40,8 @@ from .components import components
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: 40 bands of 6: a pair of similarity 0.8 shares none with probability (1 - 0.8**6)**40 = 5e-6.
 BANDS, BAND_ROWS = 40, 6
+#: Bands whose links make classes before the others are looked at: a pair of similarity 0.8 shares one with probability 0.91.
+EARLY = 8
 #: Members of a bucket that are compared with each other at once.
 BLOCK = 256
 #: Standard errors of an estimate beyond which it decides; links beyond a sure cluster that are tried.
@@ -205,14 +209,16 @@ def shingler(size: int):
 _FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("estimate", pa.float64())])
 
 
-def block_pairs(sketches: np.ndarray, low: float, high: float) -> tuple[list[tuple[int, int, float]], bool]:
+def block_pairs(sketches: np.ndarray, classes: np.ndarray, low: float, high: float) -> tuple[list[tuple[int, int, float]], bool]:
     """(i, j, estimate) of a block: its spanning forest over estimates of ``low`` or more, and of every cluster of
     estimates of ``high`` or more the ``BEYOND`` likeliest pairs with members of other clusters. And whether there are
-    more pairs of clusters with an estimate of ``low`` or more."""
+    more pairs of clusters with an estimate of ``low`` or more. Members of one of the ``classes`` are linked already:
+    they are of one cluster and their pairs aren't given."""
     n = len(sketches)
     like = np.empty((n, n), np.float32)
     for i in range(n):
         like[i] = (sketches == sketches[i]).mean(1)
+    like[classes[:, None] == classes[None, :]] = 2
     np.fill_diagonal(like, -1)
     best, source, left = np.full(n, -1.0, np.float32), np.zeros(n, int), np.ones(n, bool)
     group = np.arange(n)
@@ -222,7 +228,8 @@ def block_pairs(sketches: np.ndarray, low: float, high: float) -> tuple[list[tup
         left[i] = False
         if best[i] >= low:
             j = int(source[i])
-            out[min(i, j), max(i, j)] = float(best[i])
+            if classes[i] != classes[j]:
+                out[min(i, j), max(i, j)] = float(best[i])
             if best[i] >= high:
                 group[i] = group[j]
         closer = left & (like[i] > best)
@@ -244,15 +251,17 @@ def _pairs(low: float, high: float):
     """Pairs of the blocks; rows come sorted by (key, block). A block with more pairs gives a row of its key, b null."""
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int | None, float]]:
-        name, ids, sketches = None, [], []
+        name, ids, sketches, classes = None, [], [], []
 
         def close() -> Iterator[tuple[int, int | None, float]]:
             more = False
-            if len(ids) == 2:
+            if len(set(classes)) < 2:
+                found = []
+            elif len(ids) == 2:
                 found = [(0, 1, float((np.frombuffer(sketches[0], "<u2") == np.frombuffer(sketches[1], "<u2")).mean()))]
                 found = [x for x in found if x[2] >= low]
             else:
-                found, more = block_pairs(np.stack([np.frombuffer(x, "<u2") for x in sketches]), low, high) if ids else ([], False)
+                found, more = block_pairs(np.stack([np.frombuffer(x, "<u2") for x in sketches]), np.array(classes), low, high)
             if more:
                 yield name[0], None, low
             for i, j, e in found:
@@ -263,9 +272,10 @@ def _pairs(low: float, high: float):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[:2] != name:
                     yield from close()
-                    name, ids, sketches = row[:2], [], []
+                    name, ids, sketches, classes = row[:2], [], [], []
                 ids.append(row[2])
                 sketches.append(row[3])
+                classes.append(row[4])
         yield from close()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,6 +398,26 @@ def _sets(named: DataFrame, signed: DataFrame, ends: DataFrame, size: int, name:
     return stored(texts.groupBy("row").agg(F.min("text").alias("text")).mapInArrow(shingler(size), "row long, shingles array<long>"), name)
 
 
+def _several(buckets: DataFrame, low_ids: DataFrame, name: str) -> DataFrame:
+    """The rows of buckets whose members are of several classes, with their ``class``."""
+    known = buckets.join(low_ids, F.col("member") == F.col("first"), "left").select(*buckets.columns, F.coalesce("low", "member").alias("class"))
+    known = stored(known, f"{name}-buckets")
+    several = stored(known.groupBy("key").agg(F.min("class").alias("m"), F.max("class").alias("n")).where("m < n").select("key"), f"{name}-several")
+    return stored(known.join(several, "key"), f"{name}-members")
+
+
+def _block_links(buckets: DataFrame, signed: DataFrame, sets: DataFrame, low: float, high: float, similarity: float, name: str) -> tuple[DataFrame, DataFrame]:
+    """The links (u, v) that the blocks of ``buckets`` give, and the keys of those with more pairs than they gave."""
+    centres = buckets.where("member = centre AND blocks > 1").select("key", "member", "class", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("block").alias("own")).where("block <> own")
+    dealt = buckets.select("key", "block", "member", "class").unionByName(centres.select("key", "block", "member", "class"))
+    sketched = dealt.join(signed.select(F.col("row").alias("member"), "sketch"), "member").select("key", "block", "member", "sketch", "class")
+    found = sketched.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_pairs(low, high), "a long, b long, estimate double")
+    found = stored(found.groupBy("a", "b").agg(F.max("estimate").alias("estimate")), name)
+    pairs = found.where("b IS NOT NULL")
+    links = pairs.where(F.col("estimate") >= high).select("a", "b").unionByName(_similar(pairs.where(F.col("estimate") < high).select("a", "b"), sets, similarity))
+    return links.toDF("u", "v"), found.where("b IS NULL").select(F.col("a").alias("key"))
+
+
 def _rest(known: DataFrame, spans: DataFrame, sets: DataFrame, signed: DataFrame, low: float, similarity: float) -> DataFrame:
     """The links (u, v) between classes among the members ``known`` of the buckets ``spans``."""
     hashed, is_top = F.xxhash64("key", "member"), F.col("class") == F.col("top")
@@ -420,36 +450,29 @@ def near_duplicates(
     signed = stored(named.mapInArrow(signer(bands, rows, size), _SIGNED_DDL), "signatures")
     firsts = signed.groupBy("digest").agg(F.min(F.struct("doc_id", "uid", "row")).alias("f"))
     firsts = stored(firsts.select("digest", F.col("f.row").alias("first"), F.col("f.doc_id").alias("least"), F.col("f.uid").alias("least_uid")), "firsts")
-    keyed = signed.join(firsts, (signed["digest"] == firsts["digest"]) & (signed["row"] == firsts["first"]), "left_semi").select(F.col("row").alias("member"), F.explode("bands").alias("key"))
+    keyed = signed.join(firsts, (signed["digest"] == firsts["digest"]) & (signed["row"] == firsts["first"]), "left_semi").select(F.col("row").alias("member"), F.posexplode("bands").alias("band", "key"))
     # Written, so that the join shuffles both sides and can split a key that a third of all documents have.
     shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("member").alias("centre")).where("n > 1"), "shared")
     blocks = F.ceil(F.col("n") / BLOCK)
-    buckets = stored(keyed.join(shared, "key").select("key", "member", F.pmod(F.xxhash64("key", "member"), blocks).alias("block"), blocks.alias("blocks"), "centre"), "buckets")
-    centres = buckets.where("member = centre AND blocks > 1").select("key", "member", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), F.col("block").alias("own")).where("block <> own")
-    dealt = buckets.select("key", "block", "member").unionByName(centres.select("key", "block", "member"))
-    sketched = dealt.join(signed.select(F.col("row").alias("member"), "sketch"), "member").select("key", "block", "member", "sketch")
+    buckets = stored(keyed.join(shared, "key").select("key", "member", "band", F.pmod(F.xxhash64("key", "member"), blocks).alias("block"), blocks.alias("blocks"), "centre"), "buckets")
+    sets = _sets(named, signed, buckets.select(F.col("member").alias("row")).distinct(), size, "shingles")
     error = (similarity * (1 - similarity) / (bands * rows)) ** 0.5
     low, high = similarity - (SURE + 1) * error, min(1.0, similarity + SURE * error)
-    found = sketched.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(_pairs(low, high), "a long, b long, estimate double")
-    found = stored(found.groupBy("a", "b").agg(F.max("estimate").alias("estimate")), "pairs")
-    pairs = found.where("b IS NOT NULL")
-    open_ = pairs.where(F.col("estimate") < high).select("a", "b")
-    ends = open_.select(F.col("a").alias("row")).union(open_.select("b")).distinct()
-    sets = _sets(named, signed, ends, size, "shingles")
-    links = pairs.where(F.col("estimate") >= high).select("a", "b").unionByName(_similar(open_, sets, similarity))
-    low_ids = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).toDF("first", "low")
+    links, more = _block_links(buckets.where(F.col("band") < EARLY).withColumn("class", F.col("member")), signed, sets, low, high, similarity, "pairs")
+    low_ids = components(links).toDF("first", "low")
+    late = _several(buckets.where(F.col("band") >= EARLY), low_ids, "late")
+    links, more_late = _block_links(late, signed, sets, low, high, similarity, "late-pairs")
+    low_ids = components(low_ids.toDF("u", "v").unionByName(links)).toDF("first", "low")
     # What the blocks left out can still matter where it joins two of these classes.
-    keys = shared.where(F.col("n") > BLOCK).select("key").union(found.where("b IS NULL").select("a")).distinct()
+    keys = shared.where(F.col("n") > BLOCK).select("key").union(more).union(more_late).distinct()
     if not keys.isEmpty():
-        known = stored(buckets.select("key", "member").join(keys, "key").join(low_ids, F.col("member") == F.col("first"), "left").select("key", "member", F.coalesce("low", "member").alias("class")), "rest-buckets")
-        several = stored(known.groupBy("key").agg(F.min("class").alias("m"), F.max("class").alias("n")).where("m < n").select("key"), "rest-several")
-        known = stored(known.join(several, "key"), "rest-members")
-        more = _sets(named, signed, known.select(F.col("member").alias("row")).distinct(), size, "rest-shingles")
-        sized = known.join(more.select(F.col("row").alias("member"), F.size("shingles").cast("long").alias("size")), "member")
+        known = _several(buckets.select("key", "member").join(keys, "key"), low_ids, "rest")
+        wanted = sets.join(known.select(F.col("member").alias("row")).distinct(), "row", "left_semi")
+        sized = known.join(wanted.select(F.col("row").alias("member"), F.size("shingles").cast("long").alias("size")), "member")
         spans = sized.groupBy("key", "class").agg(F.count("*").alias("n"), F.sum("size").alias("size")).groupBy("key").agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "size", "class")).alias("top"))
         parts = lambda n, size: F.ceil(F.greatest(n / TILE, size / TILE_SHINGLES))
         spans = stored(spans.select("key", parts(F.col("n") - F.col("top.n"), F.col("size") - F.col("top.size")).alias("others"), parts(F.col("top.n"), F.col("top.size")).alias("inside"), F.col("top.class").alias("top")), "rest-keys")
-        joined = _rest(known, spans, more, signed, low, similarity)
+        joined = _rest(known, spans, wanted, signed, low, similarity)
         low_ids = components(low_ids.toDF("u", "v").unionByName(joined)).toDF("first", "low")
     # The row to keep of classes of several texts; written, since a class may have a third of all documents.
     linked = firsts.join(low_ids, "first")

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from conftest_words import words_of
 
+from lodestone.llm import near_dedup
 from lodestone.llm.components import components
 from lodestone.llm.near_dedup import dart_minhash, near_duplicates, shingles
 from lodestone.llm.queries import op6_minhash_near_dedup
@@ -118,6 +119,50 @@ def test_sparse_links_within_a_block(spark):
     assert {r.doc_id: r.class_id for r in found} == dense_brute(rows)
 
 
+def test_bands_dont_give_the_links_of_a_family_anew(spark, monkeypatch):
+    rng = random.Random(2)
+    base, rows = [f"w{k}" for k in range(600)], []
+    for k in range(600):
+        copy = list(base)
+        copy[rng.randrange(600)] = f"o{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    made, plain = spark.sparkContext.accumulator(0), near_dedup._pairs
+
+    def counted(*limits):
+        run = plain(*limits)
+
+        def tally(batches):
+            for batch in run(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return tally
+
+    monkeypatch.setattr(near_dedup, "_pairs", counted)
+    # Many tasks, as in a cluster: one task alone remembers the pairs it has given.
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.doc_id: r.class_id for r in found} == dense_brute(rows)
+    assert 0 < made.value < 10 * len(rows), made.value
+
+
+def test_pairs_of_a_class_are_not_given():
+    rng = np.random.default_rng(3)
+    sketches = np.where(rng.random((40, 240)) < 0.1, rng.integers(0, 1 << 16, (40, 240)), 7).astype("<u2")
+    classes = np.arange(40) // 10
+    found, _ = near_dedup.block_pairs(sketches, classes, 0.6, 0.99)
+    assert {(classes[i], classes[j]) for i, j, _ in found} and all(classes[i] != classes[j] for i, j, _ in found)
+    alone, _ = near_dedup.block_pairs(sketches, np.arange(40), 0.6, 0.99)
+    assert len(alone) >= 39 > len(found) >= 3
+
+
 def test_empty(nothing):
     assert near_duplicates(nothing).count() == 0
 
