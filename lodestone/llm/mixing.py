@@ -43,7 +43,7 @@ def features(ids: np.ndarray, shapes: np.ndarray, n_words: int, own: np.ndarray,
     k = own.shape[1]
     if not n_words:
         return np.zeros(4 * k + 2)
-    top = np.sort(own, axis=0)[-2:]
+    top = np.partition(own, len(own) - 2, axis=0)[-2:] if len(own) > 1 else own
     return np.concatenate([own.mean(0), shaped.mean(0), top[-1], top[0], np.log1p([n_words, len(ids) / n_words**0.8])])
 
 

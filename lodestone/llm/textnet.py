@@ -10,6 +10,8 @@ import xxhash
 
 #: Words a worker remembers; the memory is emptied when full.
 CACHED_WORDS = 200_000
+#: Shapes of at most 64 characters that a worker remembers, as they are before runs become one character; likewise.
+CACHED_SHAPES = 50_000
 
 
 class Net:
@@ -81,12 +83,20 @@ class Buckets(dict):
     def __init__(self, bits: int):
         super().__init__()
         self.mask = (1 << bits) - 1
+        self.shapes: dict[str, int] = {}
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        found = (xxhash.xxh3_64_intdigest(word) & self.mask) | (xxhash.xxh3_64_intdigest(shape(word), 1) & self.mask) << 32
-        self[word] = found
+        kinds = word.decode("utf-8", "replace").translate(_KINDS)
+        shaped = self.shapes.get(kinds)
+        if shaped is None:
+            if len(self.shapes) >= CACHED_SHAPES:
+                self.shapes.clear()
+            shaped = (xxhash.xxh3_64_intdigest(_RUN.sub(r"\1", kinds).encode(), 1) & self.mask) << 32
+            if len(kinds) <= 64:
+                self.shapes[kinds] = shaped
+        found = self[word] = (xxhash.xxh3_64_intdigest(word) & self.mask) | shaped
         return found
 
     def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +107,18 @@ class Buckets(dict):
 _RUN = re.compile(r"(.)\1+", re.S)
 
 
+class _Kinds(dict):
+    """Code point -> X or x for letters by case, 0 for digits, the character itself for others."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        found = self[code] = "X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c
+        return found
+
+
+_KINDS = _Kinds()
+
+
 def shape(word: bytes) -> bytes:
     """Letters by case, digits as 0, the rest as it is; runs as one character."""
-    chars = "".join("X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c for c in word.decode("utf-8", "replace"))
-    return _RUN.sub(r"\1", chars).encode()
+    return _RUN.sub(r"\1", word.decode("utf-8", "replace").translate(_KINDS)).encode()

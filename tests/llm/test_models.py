@@ -3,12 +3,13 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from lodestone.llm.classifier import fit_quality, score_quality
 from lodestone.llm.common import table
 from lodestone.llm.mixing import fit_rates, mix
 from lodestone.llm.queries import op8_mixing, op10_quality_classifier
-from lodestone.llm.textnet import Net, shape
+from lodestone.llm.textnet import Buckets, Net, shape
 
 SF = "/root/testdata/sf0.01"
 
@@ -134,3 +135,16 @@ def test_temperature_softens_a_net_that_is_too_sure():
 
 def test_shapes():
     assert shape("Hello***".encode()) == b"Xx*" and shape("ÀB12c!".encode()) == b"X0x!"
+
+
+def test_words_of_the_same_kinds_are_shaped_once():
+    words = [w.encode() for w in ("abc", "xyz", "ÀB12c!", "ab٣", "漢字", "Ⅷ", "#--#", "a" * 90, "")] + [b"\xff\xfeA1"]
+    buckets = Buckets(12)
+    ids, shapes = buckets.of(words)
+    # Character by character, by the definition.
+    for word, one, two in zip(words, ids, shapes, strict=True):
+        chars = "".join("X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c for c in word.decode("utf-8", "replace"))
+        runs = "".join(c for k, c in enumerate(chars) if not k or c != chars[k - 1]).encode()
+        assert shape(word) == runs
+        assert (one, two) == (xxhash.xxh3_64_intdigest(word) & 4095, xxhash.xxh3_64_intdigest(runs, 1) & 4095)
+    assert buckets.shapes["xxx"] == int(shapes[0]) << 32 and len(buckets.shapes) == 8
