@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS
+from ..functions.columns import maybe_broadcast
+from ..tables import stored
 from .dense import cosine
 
 
 def with_chunks(candidates: DataFrame, chunks: DataFrame) -> DataFrame:
-    return candidates.join(chunks, "chunk_id")
+    """Candidates with their chunks' columns. Candidates are few, and written, so that they are counted: chunks aren't shuffled for them."""
+    return maybe_broadcast(stored(candidates, "candidates")).join(chunks, "chunk_id")
 
 
 def with_metadata(rows: DataFrame, metadata: DataFrame, clusters: DataFrame) -> DataFrame:

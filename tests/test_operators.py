@@ -187,6 +187,56 @@ def test_index_is_the_same_as_no_index(spark, tmp_path):
     assert a == rows_of(lexical.search_corpus(asked, lexical.tokenized(chunks), 7), "query_id", "chunk_id", "rank")
 
 
+def _bm25(rows, asked, k, by_language):
+    """{(query, lang, chunk, rank)} by definition; rows (chunk, lang, tokens), asked {query: tokens}."""
+    out = set()
+    for q, terms in asked.items():
+        scored = []
+        for c, lang, tokens in rows:
+            own = [t for _, g, t in rows if g == lang]
+            mean, s = sum(max(len(t), 1) for t in own) / len(own), 0.0
+            for term in terms:
+                tf, df = tokens.count(term), sum(term in t for t in own)
+                s += math.log(1 + (len(own) - df + 0.5) / (df + 0.5)) * tf / (tf + 1.5 * (0.25 + 0.75 * max(len(tokens), 1) / mean))
+            scored += [(lang if by_language else "", -round(s, 6), c, lang)] if s > 0 else []
+        for g in {x[0] for x in scored}:
+            out |= {(q, lang, c, n) for n, (_, _, c, lang) in enumerate(sorted(x for x in scored if x[0] == g)[:k], 1)}
+    return out
+
+
+@pytest.mark.parametrize("by_language", [True, False])
+def test_search_by_definition(spark, monkeypatch, by_language):
+    rng = random.Random(3)
+    rows = [(f"c{rng.randrange(10**6)}:{n}", rng.choice("xyz"), [f"t{int(rng.random() ** 2 * 12)}" for _ in range(rng.randrange(9))]) for n in range(160)]
+    rows += [(f"same{n}", "x", ["t1", "t2", "t2"]) for n in range(60)]  # ties of more chunks than a list takes
+    asked = {n: [f"t{rng.randrange(14)}" for _ in range(rng.randrange(7))] for n in range(11)}
+    chunks = spark.createDataFrame(rows, "chunk_id string, lang string, tokens array<string>").repartition(3)
+    queries = spark.createDataFrame(list(asked.items()), "query_id long, tokens array<string>")
+    monkeypatch.setattr(lexical, "BLOCK", 4)
+    best = lexical._best_of_tasks
+    monkeypatch.setattr(lexical, "_best_of_tasks", lambda *a: best(*a, cells=64))
+    found = lexical.search_corpus(queries, chunks, 5, by_language).collect()
+    assert {(r.query_id, r.lang, r.chunk_id, r["rank"]) for r in found} == _bm25(rows, asked, 5, by_language)
+    assert lexical.search_corpus(queries.limit(0), chunks, 5).count() == 0 == lexical.search_corpus(queries, chunks.limit(0), 5).count()
+
+
+def test_search_writes_and_shuffles_no_more_than_chunks(spark, monkeypatch):
+    """Neither a row for each posting nor one for each pair of query and chunk."""
+    chunks = spark.createDataFrame([(n, "", [f"t{(n * k) % 30}" for k in range(40)]) for n in range(500)], "chunk_id long, lang string, tokens array<string>").repartition(2)
+    asked = spark.createDataFrame([(q, [f"t{(q + k) % 30}" for k in range(20)]) for q in range(30)], "query_id long, tokens array<string>")
+    written, stored = [], lexical.stored
+    monkeypatch.setattr(lexical, "stored", lambda df, name: written.append(stored(df, name)) or written[-1])
+    assert lexical.search_corpus(asked, chunks, 3).count() == 90
+    assert all(t.count() <= 500 for t in written)
+
+
+def test_chunks_are_not_shuffled_for_candidates(spark):
+    candidates = spark.createDataFrame([(1, "a", 0.5, 1)], "query_id long, chunk_id string, fusion double, rank int")
+    chunks = spark.range(1000).select(F.concat(F.lit("c"), "id").alias("chunk_id"), F.col("id").alias("doc_id"))
+    plan = ranking.with_chunks(candidates, chunks)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(0)
     v = rng.normal(size=(40, 16))
