@@ -1,5 +1,7 @@
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -123,3 +125,19 @@ def test_functions_by_name_in_sql(spark):
     row = spark.sql("SELECT normalize_text('x&amp;y ﬁn') AS a, lcs_len(array('a', 'b', 'c'), array('b', 'c', 'd')) AS b, decode_html(cast('é' AS binary), '') AS c").first()
     assert row == ("x&y fin", 2, "é")
     assert spark.sql("SELECT c.text FROM VALUES ('One. Two.') AS d(t), LATERAL chunk_document(t, '') AS c").first()[0] == "One. Two."
+
+
+def test_text_functions_hold_few_rows_at_once():
+    """Rows of a batch aren't Python's strings all at once."""
+    pages = [f"<p>{'é&amp; ' * 200}{k}</p>" for k in range(4000)]
+    bodies = [None, *(p.encode("utf-8" if k % 2 else "gb18030") for k, p in enumerate(pages))]
+    for call, wanted, columns in (
+        (T.decode_html.func, [T.decode_page(b, "charset=gb2312") for b in bodies], (pa.array(bodies), pa.array(["charset=gb2312"] * len(bodies)))),
+        (T._normalized.func, [None, *map(T.normalize_text, pages)], (pa.array([None, *pages]),)),
+    ):
+        tracemalloc.start()
+        found = call(*columns)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found.to_pylist() == wanted and peak < 2e6
+        assert len(call(*(c.slice(0, 0) for c in columns))) == 0
