@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,14 +104,13 @@ class HashedEmbedder:
     def _of(self, text: Column) -> Column:
         size = self.size
 
-        @F.pandas_udf("array<float>")
-        def summed(hashes: pd.Series) -> pd.Series:
-            out = []
-            for own in hashes:
-                h = np.asarray(own, np.int64)
-                v = np.bincount(h % size, np.where(h < 0, -1.0, 1.0), size) if len(h) else np.zeros(size)
-                out.append((v / max(np.linalg.norm(v), 1e-12)).astype(np.float32))
-            return pd.Series(out)
+        @F.arrow_udf("array<float>")
+        def summed(hashes: pa.Array) -> pa.Array:
+            sizes, h = pc.list_value_length(hashes).fill_null(0).to_numpy(), hashes.flatten().to_numpy()
+            place = np.repeat(np.arange(len(sizes)) * size, sizes) + h % size
+            v = np.bincount(place, np.where(h < 0, -1.0, 1.0), len(sizes) * size).reshape(-1, size)
+            v = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * size), pa.array(v.ravel()))
 
         return summed(F.transform(T.lexical_tokens(T.normalized(F.coalesce(text, F.lit("")))), lambda t: F.xxhash64(t)))
 

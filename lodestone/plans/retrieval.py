@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULTS, Settings
+from ..functions.columns import maybe_broadcast
 from ..operators import dense, fusion, lexical, ranking
 from ..sources.readers import doc_metadata
 from ..tables import stored
@@ -20,7 +21,8 @@ from ..tables import stored
 class Corpus:
     """chunks (schemas.CHUNKS), docs metadata (id, url, title, lang, host), clusters (doc_id, cluster_id), and indexes.
 
-    ``vectors`` (schemas.VECTORS) may be None for lexical search alone.
+    ``vectors`` (schemas.VECTORS) may be None for lexical search alone. With ``tokens`` (chunk_id, lang, tokens) searches go
+    over them instead of postings, which would be those of all terms, made and shuffled for each search.
     """
 
     chunks: DataFrame
@@ -30,11 +32,12 @@ class Corpus:
     statistics: DataFrame
     vectors: DataFrame | None = None
     words_only: bool = False
+    tokens: DataFrame | None = None
 
     @classmethod
     def of(cls, chunks: DataFrame, docs: DataFrame, clusters: DataFrame, vectors: DataFrame | None = None, words_only: bool = False) -> Corpus:
         tokens = lexical.tokenized(chunks, words_only=words_only).select("chunk_id", "lang", "tokens")
-        return cls(chunks, doc_metadata(docs), clusters, lexical.postings(tokens), lexical.statistics(tokens), vectors, words_only)
+        return cls(chunks, doc_metadata(docs), clusters, lexical.postings(tokens), lexical.statistics(tokens), vectors, words_only, tokens)
 
     def health(self) -> DataFrame:
         """One row: chunks, documents and vectors."""
@@ -77,12 +80,17 @@ def ranked_lists(corpus: Corpus, variants: DataFrame, mode: str, stratify: bool,
     if mode in ("bm25", "hybrid"):
         asked = lexical.tokenized(variants, words_only=corpus.words_only).select(both.alias("query_id"), "tokens")
         k = settings.per_stratum if stratify else settings.bm25_candidates
-        if stratify:
+        if corpus.tokens is not None:
+            spoken = corpus.tokens.where(F.col("lang").isin(*settings.languages)) if stratify else corpus.tokens.withColumn("lang", F.lit(""))
+            hits = lexical.search_corpus(asked, spoken, k)
+        elif stratify:
             index, stats = corpus.postings.where(F.col("lang").isin(*settings.languages)), corpus.statistics
         else:
             index = corpus.postings.withColumn("lang", F.lit(""))
             stats = corpus.statistics.agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("avgdl")) / F.sum("n")).alias("avgdl")).withColumn("lang", F.lit(""))
-        found = back(lexical.search(asked, index, stats, k), "bm25").select(*names)
+        if corpus.tokens is None:
+            hits = lexical.search(asked, index, stats, k)
+        found = back(hits, "bm25").select(*names)
     if mode in ("dense", "hybrid"):
         if corpus.vectors is None or embedded is None:
             raise ValueError("dense search needs vectors and embedded queries")
@@ -120,7 +128,8 @@ def scored_documents(corpus: Corpus, ranked: DataFrame, consensus: bool, setting
     if not consensus or corpus.vectors is None:
         return docs.withColumn("support_hosts", F.array().cast("array<string>")).withColumn("final", F.col("rel"))
     best = corpus.vectors.select(F.col("chunk_id").alias("best_chunk"), "embedding")
-    agreed = ranking.agreement(docs.join(best, "best_chunk"), settings.agree_theta, settings.agree_rel_min)
+    # At most ``rerank_candidates`` documents a query, counted: vectors aren't shuffled for them.
+    agreed = ranking.agreement(maybe_broadcast(stored(docs, "scored")).join(best, "best_chunk"), settings.agree_theta, settings.agree_rel_min)
     return ranking.rescored(agreed, settings.agree_alpha)
 
 

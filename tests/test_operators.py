@@ -226,7 +226,7 @@ def test_search_by_definition(spark, monkeypatch, by_language):
     rows = [(f"c{rng.randrange(10**6)}:{n}", rng.choice("xyz"), [f"t{int(rng.random() ** 2 * 12)}" for _ in range(rng.randrange(9))]) for n in range(160)]
     rows += [(f"same{n}", "x", ["t1", "t2", "t2"]) for n in range(60)]  # ties of more chunks than a list takes
     asked = {n: [f"t{rng.randrange(14)}" for _ in range(rng.randrange(7))] for n in range(11)}
-    chunks = spark.createDataFrame(rows, "chunk_id string, lang string, tokens array<string>").repartition(3)
+    chunks = spark.createDataFrame([*rows, ("none", None, ["t1"]), ("nothing", "x", None)], "chunk_id string, lang string, tokens array<string>").repartition(3)
     queries = spark.createDataFrame(list(asked.items()), "query_id long, tokens array<string>")
     monkeypatch.setattr(lexical, "BLOCK", 4)
     best = lexical._best_of_tasks

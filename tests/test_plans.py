@@ -2,6 +2,7 @@ import json
 import threading
 import unicodedata
 import urllib.request
+from dataclasses import replace
 from http.server import ThreadingHTTPServer
 
 import pandas as pd
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import lodestone.cli as cli
+from lodestone.config import DEFAULTS
 from lodestone.functions import text as T
 from lodestone.operators import crawl, lexical
 from lodestone.operators.dense import HashedEmbedder
@@ -56,6 +58,17 @@ def test_answers_from_the_built_tables(spark, built):
     assert retrieval.build_submission(found, queries, limit=2, mode="bm25").count() == 2
 
 
+def test_tokens_are_searched_without_postings(spark, built):
+    """A corpus without a stored index makes no postings of all terms."""
+    chunks, docs = (spark.read.parquet(f"{built}/{name}") for name in ("chunks", "docs"))
+    found = retrieval.Corpus.of(chunks, docs, spark.createDataFrame([], "doc_id long, cluster_id long"))
+    variants = retrieval.expand_queries(spark.createDataFrame([(1, "heart attack smoking"), (2, "đau đầu"), (3, "糖尿病")], "id long, query string"))
+    for stratify in (True, False):
+        lists = [retrieval.ranked_lists(c, variants, "bm25", stratify, DEFAULTS) for c in (replace(found, postings=None, statistics=None), replace(found, tokens=None))]
+        a, b = ({tuple(r) for r in x.collect()} for x in lists)
+        assert a == b and a
+
+
 def test_expansion_reads_what_it_can(spark):
     queries = spark.createDataFrame([(1, "q"), (2, "r")], "id long, query string")
     responses = spark.createDataFrame([(1, '{"en": "one", "zh": " ", "other": 1}'), (2, "not json"), (3, '{"en": "x"}')], "id long, response string")
